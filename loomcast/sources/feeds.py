@@ -1,0 +1,144 @@
+"""Feeds, directories and captions as tables: parsing is expressions over whole documents, one row a file."""
+
+from __future__ import annotations
+
+import html
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import scalars, text, urls
+
+# What counts as audio.
+AUDIO_EXTENSIONS = ("mp3", "m4a", "aac", "ogg", "opus", "wav")
+
+CUES = T.ArrayType(T.StructType([T.StructField("start", T.DoubleType()), T.StructField("end", T.DoubleType()), T.StructField("text", T.StringType())]))
+
+
+def read_documents(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """`path`, `body` of text files, a whole file a row."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("wholetext", True).text(path)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+
+
+def read_sidecars(spark: SparkSession, path: str, schema: T.StructType | str, name: str = "metadata.json") -> DataFrame:
+    """JSON documents of a name anywhere below a folder, with the file they came from."""
+    files = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", name).option("multiLine", True).json(path)
+    return files.select("*", F.col("_metadata.file_path").alias("path"))
+
+
+def read_closure(spark: SparkSession, path: str) -> DataFrame:
+    """`bundle`, `n_files`, `n_bytes`, `fingerprint`: a hash of every bundle folder's files but the failure note."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(~F.col("path").endswith("/failure.json"))
+    one = files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("bundle"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+    return closure(one)
+
+
+def closure(files: DataFrame, separator: str = "\0") -> DataFrame:
+    """The same of a table `bundle`, `name`, `length`, `sha256`."""
+    line = F.concat_ws(separator, "name", F.col("length").cast("string"), "sha256")
+    return files.groupBy("bundle").agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list(line)), "\n"), F.lit("\n")), 256).alias("fingerprint")
+    )
+
+
+def _tag(item: Column, name: str) -> Column:
+    return text.unwrap_cdata(F.regexp_extract(item, rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}>", 1))
+
+
+def rss_items(feeds: DataFrame, url: str = "feed_url", body: str = "body", most: int = 0) -> DataFrame:
+    """One row for each item with an audio enclosure: `feed_url`, `pos`, `title`, `guid`, `media_url`, `media_type`, `bytes`, `seconds`, `published`.
+
+    `most` bounds the items of a feed (0: none). The guid falls back to the media's URL.
+    """
+    items = feeds.select(F.col(url).alias("feed_url"), F.posexplode(F.regexp_extract_all(F.col(body), F.lit(r"(?s)(<item[\s>].*?</item>)"), 1)).alias("pos", "item"))
+    if most:
+        items = items.where(F.col("pos") < most)
+    enclosure = F.regexp_extract("item", r"(?s)<enclosure\s([^>]*)>", 1)
+    attribute = lambda n: F.regexp_replace(F.regexp_extract(enclosure, rf"(?:^|\s){n}=[\"']([^\"']*)[\"']", 1), "&amp;", "&")
+    out = items.select(
+        "feed_url", "pos", _tag(F.col("item"), "title").alias("title"), _tag(F.col("item"), "guid").alias("_guid"), attribute("url").alias("media_url"), attribute("type").alias("media_type"),
+        attribute("length").try_cast("long").alias("bytes"), scalars.duration_seconds(_tag(F.col("item"), "itunes:duration")).alias("seconds"), scalars.rfc2822_iso(_tag(F.col("item"), "pubDate")).alias("published"),
+    )
+    extension = F.lower(F.regexp_extract(F.coalesce(urls.part(F.col("media_url"), "PATH"), F.lit("")), r"\.([A-Za-z0-9]+)$", 1))
+    audio = F.col("media_type").contains("audio") | extension.isin(*AUDIO_EXTENSIONS)
+    return out.where((F.col("media_url") != "") & audio).withColumn("guid", F.coalesce(F.nullif("_guid", F.lit("")), F.col("media_url"))).drop("_guid")
+
+
+RSS_ITEM = T.StructType([
+    T.StructField("title", T.StringType()), T.StructField("description", T.StringType()), T.StructField("encoded", T.StringType()), T.StructField("summary", T.StringType()), T.StructField("author", T.StringType()),
+    T.StructField("person", T.ArrayType(T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_role", T.StringType()), T.StructField("_group", T.StringType())]))),
+    T.StructField("transcript", T.ArrayType(T.StructType([T.StructField("_url", T.StringType()), T.StructField("_type", T.StringType()), T.StructField("_language", T.StringType())]))),
+    T.StructField("chapters", T.ArrayType(T.StructType([T.StructField("_url", T.StringType()), T.StructField("_type", T.StringType())]))),
+])
+
+
+def rss_metadata(feeds: DataFrame, url: str = "feed_url", body: str = "body", most_text: int = 200_000) -> DataFrame:
+    """Namespaced metadata of each item through the DOM: the fullest description, people, transcripts and chapters as arrays."""
+    items = feeds.select(F.col(url).alias("feed_url"), F.posexplode(F.regexp_extract_all(F.col(body), F.lit(r"(?s)(<item[\s>].*?</item>)"), 1)).alias("pos", "item"))
+    local = F.regexp_replace(F.regexp_replace(F.col("item"), r"<(/?)(?:content|itunes|podcast|media|dc):", "<$1"), r"<item\s[^>]*>", "<item>")
+    d = items.select("feed_url", "pos", F.from_xml(local, RSS_ITEM).alias("x"))
+    full = F.coalesce(*[F.nullif(F.trim(F.col(f"x.{c}")), F.lit("")) for c in ("encoded", "description", "summary")])
+    return d.select(
+        "feed_url", "pos", "x.title", F.substring(full, 1, most_text).alias("description"), F.col("x.author").alias("author"),
+        F.transform("x.person", lambda p: F.struct(p["_VALUE"].alias("name"), F.coalesce(p["_role"], F.lit("host")).alias("role"), p["_group"].alias("group"))).alias("people"),
+        F.transform("x.transcript", lambda t: F.struct(t["_url"].alias("url"), t["_type"].alias("type"), t["_language"].alias("language"))).alias("transcripts"),
+        F.transform("x.chapters", lambda t: F.struct(t["_url"].alias("url"), t["_type"].alias("type"))).alias("chapters"),
+    )
+
+
+_TIMING = re.compile(r"^\s*((?:\d+:)?\d{1,2}:\d{2}[.,]\d{3})\s+-->\s+((?:\d+:)?\d{1,2}:\d{2}[.,]\d{3})")
+
+
+def _seconds(stamp: str) -> float | None:
+    *h, m, s = stamp.replace(",", ".").split(":")
+    return None if int(m) > 59 or float(s) >= 60 else (int(h[0]) if h else 0) * 3600 + int(m) * 60 + float(s)
+
+
+def vtt_cues(body: str | None, most: int = 200_000) -> list[dict]:
+    """The cues of a WebVTT text; header, notes, styles and regions are skipped, cues that don't last are dropped."""
+    out = []
+    for block in re.split(r"\n[ \t]*\n", (body or "").replace("\r\n", "\n").replace("\r", "\n").lstrip("﻿")):
+        lines = block.strip("\n").split("\n")
+        if lines[0].startswith(("WEBVTT", "NOTE", "STYLE", "REGION")):
+            continue
+        for i, line in enumerate(lines):
+            if m := _TIMING.match(line):
+                a, b, t = _seconds(m[1]), _seconds(m[2]), text.caption(html.unescape("\n".join(lines[i + 1 :])))
+                if a is not None and b is not None and b > a and t:
+                    out.append({"start": a, "end": b, "text": t})
+                break
+        if len(out) > most:
+            raise ValueError(f"more than {most} cues in one text")
+    return out
+
+
+@F.pandas_udf(CUES)
+def parse_vtt(body: pd.Series) -> pd.Series:
+    return body.map(vtt_cues)
+
+
+def caption_json(body: Column) -> Column:
+    """The cues of a caption document, NULL unless every one is finite, lasts, has text, and starts no earlier than the one before."""
+    rows = F.from_json(body, "struct<body:array<struct<`from`:double,`to`:double,content:string>>>")["body"]
+    fine = F.forall(rows, lambda c: c["from"].isNotNull() & c["to"].isNotNull() & ~F.isnan(c["from"]) & (c["from"] >= 0) & (c["to"] > c["from"]) & (F.trim(F.coalesce(c["content"], F.lit(""))) != ""))
+    steps = F.zip_with(F.slice(rows, F.lit(1), F.greatest(F.size(rows) - 1, F.lit(0))), F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), lambda a, b: a["from"] <= b["from"])
+    return F.when(fine & F.forall(steps, lambda x: x), F.transform(rows, lambda c: F.struct(c["from"].alias("start"), c["to"].alias("end"), c["content"].alias("text"))))
+
+
+def render_vtt(cues: DataFrame, group: str, start: str, end: str, body: str) -> DataFrame:
+    """`group`, `vtt`: numbered cues in order. A track is one text by nature; the order is by start, end and text."""
+    rows = F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.col(body).alias("x"))))
+    line = F.transform(rows, lambda c, i: F.concat((i + 1).cast("string"), F.lit("\n"), scalars.vtt_text(c["s"]), F.lit(" --> "), scalars.vtt_text(c["e"]), F.lit("\n"), c["x"]))
+    return cues.groupBy(group).agg(F.concat(F.lit("WEBVTT\n\n"), F.array_join(line, "\n\n"), F.lit("\n")).alias("vtt"))
+
+
+def transcript_text(body: Column) -> Column:
+    """The text of a JSON transcript: the first non-empty of its row lists, each row's first text, joined by line feeds."""
+    row = "array<struct<content:string,text:string,body:string>>"
+    d = F.from_json(body, f"struct<body:{row},segments:{row},cues:{row},items:{row}>")
+    joined = lambda a: F.nullif(F.array_join(F.filter(F.transform(a, lambda r: F.trim(F.coalesce(r["content"], r["text"], r["body"], F.lit("")))), lambda t: t != ""), "\n"), F.lit(""))
+    return F.coalesce(*[joined(d[k]) for k in ("body", "segments", "cues", "items")], F.lit(""))
