@@ -32,6 +32,9 @@ MONTHS = {
     "jul": 7, "juil": 7, "aug": 8, "ago": 8, "aoû": 8, "sep": 9, "set": 9, "oct": 10, "okt": 10, "out": 10, "nov": 11, "dec": 12, "dez": 12, "dic": 12, "déc": 12,
 }
 
+#: By how much a row's lag may differ from the usual: less than the step between neighbouring zones.
+TOLERANCE_S = 900
+
 #: Zones tried for a source whose clock isn't stated.
 CANDIDATE_ZONES = (
     "UTC", "America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles", "America/Sao_Paulo", "America/Mexico_City", "Europe/London", "Europe/Berlin",
@@ -182,12 +185,13 @@ def resolve(df: DataFrame, clock: str) -> DataFrame:
     return _bind(df, utc_text=text).drop(*_WORK, "_zone", "_u1", "_u2", "_ok1", "_ok2")
 
 
-def estimate_zones(rows: DataFrame, source: str, local: str, ingested: str, candidates: tuple[str, ...] = CANDIDATE_ZONES, max_lag_s: int = 14 * 86_400) -> DataFrame:
+def estimate_zones(rows: DataFrame, source: str, local: str, ingested: str, candidates: tuple[str, ...] = CANDIDATE_ZONES, usual_lag_s: float | None = None, max_lag_s: int = 14 * 86_400) -> DataFrame:
     """The clock of each source whose values carry no zone: columns `source`, `clock_zone`, `violations`, `n_rows`.
 
     Each candidate offset history turns the local microseconds (`local`) into instants; a violation is an instant after the
-    row was taken in (`ingested`, UTC microseconds) or more than `max_lag_s` before it, or a local time that the history skips.
-    The history with the fewest violations wins, then the one with the smallest mean lag, then the first by name.
+    row was taken in (`ingested`, UTC microseconds), more than `max_lag_s` before it, or off the usual lag (that of values whose zone is stated,
+    if known) by more than `TOLERANCE_S`, or a local time that the history skips. The history with the fewest violations wins, then the one whose
+    median lag is nearest to the usual, then the first by name.
     One partial aggregate per (source, candidate): a source that holds most rows shuffles no more than any other.
     Rows without a source, time or ingestion time are no evidence; a source without evidence gets no row.
     """
@@ -195,12 +199,25 @@ def estimate_zones(rows: DataFrame, source: str, local: str, ingested: str, cand
     tried = base.withColumn("clock_zone", F.explode(F.array(*map(F.lit, candidates))))
     tried = tried.withColumn("u", F.unix_micros(F.to_utc_timestamp(F.timestamp_micros("l"), F.col("clock_zone"))))
     lag = (F.col("g") - F.col("u")) / 1e6
-    wrong = (lag < 0) | (lag > max_lag_s) | (_local(F.col("u"), F.col("clock_zone")) != F.col("l"))
-    each = tried.groupBy("source", "clock_zone").agg(F.count_if(wrong).alias("violations"), F.avg(F.abs(lag)).alias("lag"), F.count("*").alias("n_rows"))
+    far = F.lit(False) if usual_lag_s is None else F.abs(lag - usual_lag_s) > TOLERANCE_S
+    wrong = far | (lag < -60) | (lag > max_lag_s) | (_local(F.col("u"), F.col("clock_zone")) != F.col("l"))
+    each = tried.groupBy("source", "clock_zone").agg(F.count_if(wrong).alias("violations"), F.abs(F.percentile_approx(lag, 0.5) - (usual_lag_s or 0.0)).alias("lag"), F.count("*").alias("n_rows"))
     best = each.groupBy("source").agg(F.min_by(F.struct("clock_zone", "violations", "n_rows"), F.struct("violations", F.round("lag", 3), "clock_zone")).alias("b"))
     return best.select("source", "b.clock_zone", "b.violations", "b.n_rows")
 
 
+def without_zone(parts: DataFrame) -> DataFrame:
+    """Readable values without a zone."""
+    return parts.where("_local is not null and _offset is null and _named is null and not _bad and _epoch is null")
+
+
+def usual_lag(parts: DataFrame, ingested: str = "_g") -> float | None:
+    """The median of seconds from the values whose zone is stated to their ingestion: one number."""
+    instant = F.coalesce("_epoch", F.col("_local") - F.col("_offset").cast("long") * 60_000_000)
+    lag = F.when(~F.col("_bad"), (F.col(ingested) - instant) / 1e6)
+    return parts.agg(F.percentile_approx(lag, 0.5).alias("m")).collect()[0]["m"]
+
+
 def normalize(df: DataFrame, columns: list[str], source: str, clocks: DataFrame, ingested: str | None = None, key: str = "id") -> DataFrame:
     """Long form of the timestamp columns: `key`, `field_name`, `raw_text`, `utc_micros`, `utc_text`, one row per row and column.
 
@@ -217,10 +234,11 @@ def normalize(df: DataFrame, columns: list[str], source: str, clocks: DataFrame,
     long = kept.select(key, "_source", *(["_ingested"] if ingested else []), F.inline(fields))
     stated = small_side(clocks.where("source is not null").groupBy("source").agg(F.min("clock_zone").alias("_stated"), F.min("day_order").alias("_order")))
     long = with_parts(long.join(stated, long["_source"] == stated["source"], "left").drop("source"), "raw_text", "_order", zones)
-    if ingested:
-        open_rows = long.where("_stated is null and _local is not null and _offset is null and _named is null and not _bad")
-        open_rows = open_rows.withColumn("_g", F.unix_micros(F.try_to_timestamp(F.concat("_ingested", F.lit("Z")))))
-        found = small_side(estimate_zones(open_rows, "_source", "_local", "_g").select("source", F.col("clock_zone").alias("_estimated")))
+    without = kept.select("_source").where("_source is not null").distinct().join(stated.select(F.col("source").alias("_source")), "_source", "left_anti") if ingested else None
+    if ingested and not without.isEmpty():
+        # The last column is the one that is written when a row is taken in.
+        seen = long.where(F.col("field_name") == columns[-1]).withColumn("_g", F.unix_micros(F.try_to_timestamp(F.concat("_ingested", F.lit("Z")))))
+        found = small_side(estimate_zones(without_zone(seen).where("_stated is null"), "_source", "_local", "_g", usual_lag_s=usual_lag(seen)).select("source", F.col("clock_zone").alias("_estimated")))
         long = long.join(found, long["_source"] == found["source"], "left").withColumn("_clock", F.coalesce("_stated", "_estimated"))
     else:
         long = long.withColumn("_clock", F.col("_stated"))
