@@ -106,7 +106,7 @@ def _kind(c: str) -> str:
         return "c"
     if "Ͱ" <= c <= "Ͽ":
         return "g"
-    if "‐" <= c <= "⁞" or "₠" <= c <= "₿" or "℀" <= c <= "⅏" or "←" <= c <= "⇿" or "☀" <= c <= "➿" or "\U0001f300" <= c <= "\U0001faff" or c in "´ˆ˜ƒ•" or "●" == c or "★" == c:
+    if "‐" <= c <= "⁞" or "₠" <= c <= "₿" or "℀" <= c <= "⅏" or "←" <= c <= "⇿" or "☀" <= c <= "➿" or c >= "\U0001d000" and c <= "\U0001faff" or c in "´ˆ˜ƒ•" or "●" == c or "★" == c:
         return "p"
     return "?"
 
@@ -236,9 +236,12 @@ def _from_legacy(text: str) -> str | None:
     return None
 
 
+_BROKEN = re.compile("[\u0400-\u04ff][¤§©«®°±µ¶·»Ґ][\u0400-\u04ff]")
+
+
 def _from_cyrillic(text: str) -> str | None:
     """One Cyrillic code page that was read as another, or None."""
-    if _well_cased(text) or sum("\u0400" <= c <= "\u04ff" or "\u2500" <= c <= "\u259f" for c in text) < 4:
+    if (_well_cased(text) and not _BROKEN.search(text)) or sum("\u0400" <= c <= "\u04ff" or "\u2500" <= c <= "\u259f" for c in text) < 4:
         return None
     best = None
     for seen in TRUE_CYRILLIC:

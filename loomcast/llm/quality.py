@@ -112,6 +112,7 @@ def statistics(df: DataFrame, text: str, common: list[str], pairs: list[str]) ->
         n_duplicate_lines=F.size(lines) - F.size(F.array_distinct(lines)),
         n_duplicate_paragraphs=F.size("_paragraphs") - F.size(F.array_distinct("_paragraphs")),
         n_distinct_grams=F.size(F.array_distinct("_grams")),
+        n_distinct_words=F.size(F.array_distinct(words)),
         n_top_gram=_runs(F.col("_grams")),
         _top_words=_runs(words),
         n_pairs=F.greatest(F.col("n_cjk") - 1, F.lit(0)),
@@ -158,7 +159,7 @@ def kind() -> Column:
         | (c("n_long_word_chars") * 2 > c("n_chars"))
         | ((c("n_tokens") >= 16) & (c("n_hex") * 2 > c("n_tokens")))
     )
-    repeated = (c("n_words") >= 12) & ((c("top_gram_char_share") >= 0.35) | (c("_top_words") * 2.2 > c("n_words")) | ((c("duplicate_gram_share") > 0.8) & (c("n_words") < 5000)))
+    repeated = (c("n_words") >= 12) & (c("n_distinct_words") * 4 < c("n_words")) & ((c("top_gram_char_share") >= 0.35) | (c("_top_words") * 2.2 > c("n_words")) | ((c("duplicate_gram_share") > 0.8) & (c("n_words") < 5000)))
     marked = (c("n_items") >= 3) | ((c("n_marked") >= 3) & (c("marked_char_share") >= 0.45) & (c("marked_line_share") >= 0.5))
     plain_lines = (c("n_lines") >= 4) & (c("short_line_share") >= 0.7) & (c("_short_chars") * 2 > c("_chars")) & (c("line_evenness") < 0.78) & (c("n_terminators") <= 1 + 0.25 * c("n_lines"))
     in_line = (c("n_separators") >= 7) & (c("n_terminators") * 8 < c("n_separators")) & (c("n_visible") < F.when(cjk, 16).otherwise(45) * (c("n_separators") + 1)) & (c("n_lines") * 4 <= c("n_separators"))

@@ -82,7 +82,7 @@ def test_kinds(spark, sf):
     prose = "We talk about the history of the mills, and why it still matters to all of you. There were many questions about it."
     cases = {
         "prose": [prose, "\n".join([prose] * 3), "Anna: " + prose + "\nBen: " + prose, prose + "\n\n- the mill\n- the well\n\n" + prose, prose.lower().replace(".", "").replace(",", ""), "<p>" + prose + "</p>"],
-        "list": ["Things:\n" + "\n".join(f"- the thing of day {i}" for i in range(9)), "\n".join(f"{i}. the rules of it" for i in range(1, 9)), ", ".join(["the smell of gardens", "the map of wells"] * 6)],
+        "list": ["Things:\n" + "\n".join(f"- the thing of day {i}" for i in range(9)), "\n".join(f"{i}. the rules of {w}" for i, w in enumerate("gardens wells mills kites trains radios clubs".split())), ", ".join(f"the {a} of {b}" for a, b in zip("smell map rules craft price sound weather song".split(), "gardens wells mills kites trains radios clubs lamps".split()))],
         "table": ["\n".join("\t".join(["ok", "12:30", "Ann", "7"]) for _ in range(6)), "| a | b | c |\n| --- | --- | --- |\n" + "| 1 | 2 | 3 |\n" * 4, "<table><tr><td>a</td><td>b</td></tr><tr><td>1</td><td>2</td></tr></table>"],
         "junk": ["woiw wqwek pfx xaxrc xzsd vjsc szwv vuco qxqu xwvv iwmk zxqp vvuq", "%<-@_^#)*#!)):$}:@:*]![/+#" * 3, "aB3/" * 80, "\n".join(f"[{i}] dbg buf=0x{i:04x} q=2 drop=1" for i in range(9)), "44 cc c6 bb 62 03 cb 4e bc 3c e0 04 7b 8c c0 f8 " * 3, "Limdra " * 40],
         None: ["", "  \n ", None],
