@@ -340,6 +340,22 @@ def _from_double(text: str) -> str | None:
     return best[1] if best else None
 
 
+def _whole_utf8(text: str) -> str | None:
+    """UTF-8 that was read in an East Asian encoding, if every run of the text, at least four characters long, is well formed throughout."""
+    for seen in ("gb18030", "big5", "cp932", "euc_jp", "cp949"):
+        try:
+            runs = [(m, m[0].encode(seen).decode("utf-8")) for m in _WIDE_RUN.finditer(text) if sum(map(_eastern, m[0])) > 1]
+        except (UnicodeEncodeError, UnicodeDecodeError):
+            continue
+        if runs and all(len(m[0]) >= 4 and _share(d) >= 0.5 and sum(map(_wide, d)) >= 2 for m, d in runs):
+            out, at = [], 0
+            for m, d in runs:
+                out += [text[at : m.start()], d]
+                at = m.end()
+            return "".join([*out, text[at:]])
+    return None
+
+
 def _encoded(c: str, codec: str) -> bytes:
     try:
         return c.encode(codec)
@@ -365,6 +381,9 @@ def repair(text: str | None) -> tuple[bool, str | None, str]:
             tried.append((d, "cyrillic as another"))
         if _EASTERN.search(now) and (_share(now) < 0.8 or _PRIVATE.search(now) or "\ufffd" in now) and (d := _from_double(now)) is not None:
             tried.append((d, "east asian as another"))
+        if not tried and _EASTERN.search(now) and (d := _whole_utf8(now)) is not None:
+            now, steps = d, [*steps, "utf-8 as east asian"]
+            continue
         if not tried:
             if (d := _from_western(now)) is not None:
                 now, steps = d, [*steps, "western as another"]
