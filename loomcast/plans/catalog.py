@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import language, scalars, text, urls
+from ..functions import documents, language, scalars, text, urls
 from ..operators import filters, identity, sequences
 from ..session import table
-from ..sources import feeds
+from ..sources import feeds, manifests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -663,6 +663,82 @@ def rss_parse(spark, d):
     return feeds.rss_items(body).select("feed_url", "guid", "title", "media_url", "bytes")
 
 
+# --- documents, hashes and frames ----------------------------------------------------------------------------------------------------
+
+
+@query("SELECT id, CASE WHEN json_valid(metadata_json) AND starts_with(trim(metadata_json), '{') THEN metadata_json ELSE '{}' END AS document FROM audio_urls")
+def metadata_objects(spark, d):
+    return _queue(spark, d).select("id", documents.as_object(F.col("metadata_json")).alias("document"))
+
+
+@query()
+def json_url_redaction(spark, d):
+    return _queue(spark, d).where(_text("metadata_json") != "").select("id", documents.redact_json_urls("metadata_json").alias("redacted"))
+
+
+@query()
+def json_sanitize(spark, d):
+    return _queue(spark, d).where(_text("metadata_json") != "").select("id", documents.sanitize_json("metadata_json").alias("safe"))
+
+
+@query()
+def metadata_envelopes(spark, d):
+    common = F.struct("author", "webpage_url")
+    data = F.struct("source_id", "duration")
+    assets = F.when(_text("cover_url") != "", F.create_map(F.lit("cover"), F.col("cover_url"))).otherwise(F.create_map().cast("map<string,string>"))
+    return _queue(spark, d).where("source is not null").select("id", documents.envelope(F.col("source"), common, data, assets, F.col("downloaded_at")).alias("document"))
+
+
+@query("SELECT bvid, batch_id, part, substr(sha256('[\"' || bvid || '\",' || part || ',' || part * 1000 || ']'), 1, 12) AS job_key FROM (SELECT bvid, batch_id, unnest(parts) AS part FROM bilibili_sources WHERE bvid IS NOT NULL)")
+def job_keys(spark, d):
+    rows = table(spark, d, "bilibili_sources").where("bvid is not null").select("bvid", "batch_id", F.explode("parts").alias("part"))
+    fields = F.concat(F.lit('[ "'), "bvid", F.lit('", '), F.col("part").cast("string"), F.lit(", "), (F.col("part") * 1000).cast("string"), F.lit(" ]"))
+    return rows.select("bvid", "batch_id", "part", manifests.job_key(fields).alias("job_key"))
+
+
+@query()
+def frame_runs(spark, d):
+    """Cues taken as detections of sampled frames, followed over time."""
+    c = table(spark, d, "cues").where(F.coalesce(F.trim("text"), F.lit("")) != "").select("track_id", "pos", "cue_start", "text").distinct()
+    frames = c.select(F.col("track_id").alias("media_id"), F.col("pos").cast("int").alias("frame_index"), "cue_start", "text").select(
+        "media_id", "frame_index", (F.col("frame_index") / 2.0).alias("ts"), "text", F.lit(0.9).alias("confidence"), F.lit(0.1).alias("x1"), F.lit(0.8).alias("y1"), F.lit(0.9).alias("x2"), F.lit(0.9).alias("y2")
+    )
+    return sequences.track_frames(frames, fps=2.0)
+
+
+@query("SELECT lan, count(*) AS n_frames, count(*) FILTER (length(trim(coalesce(text, ''))) > 0) AS accepted, count(*) FILTER (length(trim(coalesce(text, ''))) = 0) AS filtered FROM (SELECT DISTINCT track_id, pos, lan, text FROM cues) GROUP BY 1")
+def extraction_counters(spark, d):
+    c = table(spark, d, "cues").select("track_id", "pos", "lan", "text").distinct()
+    some = F.length(F.trim(_text("text"))) > 0
+    return c.groupBy("lan").agg(F.count("*").alias("n_frames"), F.count_if(some).alias("accepted"), F.count_if(~some).alias("filtered"))
+
+
+@query("SELECT bvid, batch_id, CASE WHEN coalesce(len(languages), 0) = 0 THEN 'not_provided' WHEN len(list_filter(languages, lambda x: starts_with(regexp_replace(lower(x), '^ai-', ''), split_part(lower(coalesce(content_language, '?')), '-', 1)))) = 0 THEN 'no_matching_language' ELSE 'provided' END AS status FROM bilibili_sources")
+def inventory_status(spark, d):
+    wanted = F.split_part(F.lower(F.coalesce("content_language", F.lit("?"))), F.lit("-"), F.lit(1))
+    some = F.exists("languages", lambda x: F.startswith(F.regexp_replace(F.lower(x), "^ai-", ""), wanted))
+    status = F.when(F.coalesce(F.size("languages"), F.lit(0)) <= 0, "not_provided").when(~some, "no_matching_language").otherwise("provided")
+    return table(spark, d, "bilibili_sources").select("bvid", "batch_id", status.alias("status"))
+
+
+@query("SELECT doc_id, collected_on, n_before FROM (SELECT doc_id, strftime(collected_at, '%Y-%m-%d') AS collected_on, count(*) OVER (PARTITION BY feed_url ORDER BY collected_at, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_before FROM documents WHERE feed_url IS NOT NULL)")
+def documents_before(spark, d):
+    w = Window.partitionBy("feed_url").orderBy("collected_at", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = table(spark, d, "documents").where("feed_url is not null").select("doc_id", "feed_url", "collected_at")
+    return rows.select("doc_id", F.date_format("collected_at", "yyyy-MM-dd").alias("collected_on"), F.count("*").over(w).alias("n_before"))
+
+
+@query("SELECT source, status, n_rows, rank() OVER (PARTITION BY source ORDER BY n_rows DESC, status) AS place FROM (SELECT source, status, count(*) AS n_rows FROM audio_urls GROUP BY 1, 2)")
+def status_ranks(spark, d):
+    counts = _queue(spark, d).groupBy("source", "status").agg(F.count("*").alias("n_rows"))
+    return counts.withColumn("place", F.rank().over(Window.partitionBy("source").orderBy(F.desc("n_rows"), "status")).cast("long"))
+
+
+@query("SELECT user_id, count(*) AS n_events, count(DISTINCT event_type) AS n_types FROM events GROUP BY 1")
+def events_by_user(spark, d):
+    return table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n_events"), F.count_distinct("event_type").alias("n_types"))
+
+
 # --- quality rules -------------------------------------------------------------------------------------------------------------------
 
 
