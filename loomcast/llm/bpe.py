@@ -196,7 +196,9 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = V
     known = parts.join(coded, "b").groupBy("w").agg(F.collect_list(F.struct("q", "i")).alias("x"))
     known = known.select("w", F.flatten(F.transform(F.array_sort("x"), lambda s: s["i"])).cast("array<int>").alias("i"))
     found = each.join(known, "w").select("k", "h", "p", "i").groupBy("k", "h").agg(F.collect_list(F.struct("p", "i")).alias("x"))
-    found = found.select("k", F.flatten(F.transform(F.array_sort(F.array_distinct("x")), lambda s: s["i"])).alias("ids"))
+    # Rows that repeat a document repeat its places, which lie side by side once sorted.
+    once = _let(F.array_sort("x"), lambda x: F.filter(x, lambda s, i: (i == 0) | (F.get(x, i - 1)["p"] != s["p"])))
+    found = found.select("k", F.flatten(F.transform(once, lambda s: s["i"])).alias("ids"))
     empty = docs.where("t is null or length(t) = 0").select("k", F.array().cast("array<int>").alias("ids")).distinct()
     return found.unionByName(empty).withColumnRenamed("k", key)
 

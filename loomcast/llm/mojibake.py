@@ -258,7 +258,7 @@ def _from_cyrillic(text: str) -> str | None:
 #: Signs of ill-formed Western words: a capital or a symbol inside, a symbol where a word ends, a lone ñ for a dash, íÈ for an apostrophe.
 _ILL = re.compile(
     "(?<=[a-zà-öø-ÿ])[À-ÖØ-ÞŠŽŒŸ]|(?<=[^\\W\\d_])[^\\w\\s’‘'ʼ.,:;!?/+&–—\\-|*“”«»()\\[\\]™®©·•…=_~@#%](?=[^\\W\\d_])"
-    "|(?<=[a-z])[‚ƒ„†‡‰‹¢£¤¥¦§¨¬¯±¸¼½¾¿¡](?!\\w)|(?<!\\w)[ñÑ](?!\\w)|(?<!\\w)[‡∫√∑∏Ω](?!\\w)|\\b[dl]í(?=[hÀ-ÖØ-Þ])|(?<!\\w)ì(?=\\w)|(?<!\\w)´(?=\\w)|n∫|(?<!\\w)‡(?!\\w)|(?<=[a-z])[ˆ·˚˜](?=[a-z])|(?<=[a-z])[ˆ˚](?![a-z])"
+    "|(?<=[a-z])[‚ƒ„†‡‰‹¢£¤¥¦§¨¬¯±¸¼½¾¿¡](?!\\w)|(?<!\\w)[ñÑ](?!\\w)|(?<!\\w)[‡∫√∑∏Ω](?!\\w)|\\b[dl]í(?=[hÀ-ÖØ-Þ])|(?<!\\w)ì(?=\\w)|(?<!\\w)´(?=\\w)|n∫|(?<!\\w)‡(?!\\w)|(?<=[a-z])[ˆ˚˜](?=[a-z])|(?<=[a-km-z])·(?=[a-z])|(?<=l)·(?=[a-km-z])|(?<=[a-z])[ˆ˚](?![a-z])"
 )
 _POSSESSIVE = re.compile(r"\b[A-Z]\w+ís (?=\w)")
 _ENGLISH = re.compile(r"\b(the|of|on|with|and|workshop|notes|in)\b", re.I)
