@@ -38,7 +38,7 @@ LEAD = 6.0
 # How the eight languages are written in labels (two and three letters, English name, own name).
 NAMES = {
     "en": ("en", "eng", "english"),
-    "zh": ("zh", "zho", "chi", "cmn", "chinese", "中文", "汉语", "漢語", "普通话"),
+    "zh": ("zh", "zho", "chi", "cmn", "chinese", "中文", "简体中文", "繁體中文", "汉语", "漢語", "普通话"),
     "de": ("de", "deu", "ger", "german", "deutsch"),
     "es": ("es", "spa", "spanish", "español", "espanol", "castellano"),
     "fr": ("fr", "fra", "fre", "french", "français", "francais"),
