@@ -487,6 +487,18 @@ def overlap_removal(spark, d):
     return out.where(~F.contains("text", F.lit("\n")) & ~F.coalesce(F.contains("b", F.lit("\n")), F.lit(False))).select("track_id", "pos", "kept_text")
 
 
+_ROLLING = """WITH c AS (SELECT DISTINCT track_id, track_kind, pos, string_split(coalesce(text, ''), chr(10)) AS n FROM cues), w AS (SELECT *, lag(n) OVER (PARTITION BY track_id ORDER BY pos) AS b FROM c),
+k AS (SELECT *, CASE WHEN track_kind = 'automatic' AND b IS NOT NULL THEN coalesce(list_max(list_filter(range(1, least(len(b), len(n)) + 1), lambda k: b[len(b) - k + 1:len(b)] = n[1:k])), 0) ELSE 0 END AS k FROM w)
+SELECT track_id, pos, array_to_string(n[k + 1:len(n)], chr(10)) AS kept_text FROM k WHERE array_to_string(n[k + 1:len(n)], chr(10)) <> ''"""
+
+
+@query(_ROLLING)
+def rolling_captions(spark, d):
+    """The overlap removal over all cues; `overlap_removal` has only those without line breaks, as its SQL says."""
+    rows = table(spark, d, "cues").select("track_id", "track_kind", "pos", _text("text").alias("text")).distinct()
+    return sequences.remove_rolling(rows, automatic=F.col("track_kind") == "automatic").select("track_id", "pos", "kept_text")
+
+
 @query()
 def cue_groups(spark, d):
     rows = table(spark, d, "cues").select("track_id", "pos", "cue_start", "cue_end", "text").distinct()

@@ -55,6 +55,25 @@ def test_rolling_overlap(spark):
     assert [(r.pos, r.kept_text) for r in sequences.remove_rolling(df).orderBy("pos").collect()] == [(0, "a\nb"), (1, "c"), (4, "c")]
 
 
+def test_rolling_captions_of_all_cues(spark, tmp_path):
+    from loomcast.plans import catalog
+
+    rng = random.Random(5)
+    texts = ["\n".join(rng.choices("ab", k=rng.randint(1, 4))) if rng.random() > 0.1 else rng.choice(["", None]) for _ in range(300)]
+    cues = [(f"t{i // 100}", "manual" if i // 100 == 2 else "automatic", i % 100, t) for i, t in enumerate(texts)]
+    want, before = [], {}
+    for t, kind, pos, x in cues:
+        now, k = (x or "").split("\n"), 0
+        if kind == "automatic" and t in before:
+            k = max((k for k in range(1, min(len(now), len(before[t])) + 1) if before[t][-k:] == now[:k]), default=0)
+        before[t] = now
+        if left := "\n".join(now[k:]):
+            want.append((t, pos, left))
+    spark.createDataFrame(cues + cues[:9], "track_id string, track_kind string, pos int, text string").write.parquet(str(tmp_path / "cues.parquet"))
+    got = [tuple(r) for r in catalog.QUERIES["rolling_captions"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == want and sum("\n" in x for *_, x in want) > 50
+
+
 def test_frames_choose_the_best_supported_text(spark):
     rows = [("m", i, i / 2.0, "Hello world" if i != 1 else "Hella world", 0.9, 0.1, 0.8, 0.5, 0.9) for i in range(4)] + [("m", 30, 15.0, "Other", 0.8, 0.1, 0.1, 0.2, 0.2), ("n", 0, 0.0, "x", 0.5, 0.0, 0.0, 1.0, 1.0)]
     df = spark.createDataFrame(rows, "media_id string, frame_index int, ts double, text string, confidence double, x1 double, y1 double, x2 double, y2 double")
