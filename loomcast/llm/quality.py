@@ -19,6 +19,10 @@ from ..operators.timestamps import _bind
 #: Most words or character pairs that may enter the plan as literals.
 MAX_LITERALS = 50_000
 
+#: Repetition is measured within windows of so many neighbouring grams, because prose repeats more of its short grams the longer it is; grams of so
+#: many words tell loops of longer blocks, because prose hardly ever repeats one.
+WINDOW_GRAMS, LONG_GRAM = 5000, 13
+
 WORD = r"[぀-ヿ㐀-鿿]|[\p{L}\p{N}&&[^぀-ヿ㐀-鿿]]+"
 _CJK = r"[぀-ヿ㐀-鿿]"
 _ENDS = r"[.!?。！？…][\"'”’»」』)）\]]*\s*$"
@@ -61,6 +65,21 @@ def _runs(items: Column) -> Column:
     return F.aggregate(F.array_sort(items), zero, step, lambda a: a["best"])
 
 
+def _window_share(grams: Column) -> Column:
+    """The share of duplicates within windows of a fixed size, over all windows; the last one ends with the text."""
+    size = F.least(F.size(grams), F.lit(WINDOW_GRAMS))
+    last = F.greatest(F.size(grams) - WINDOW_GRAMS + 1, F.lit(1))
+    starts = F.array_distinct(F.concat(F.sequence(F.lit(1), last, F.lit(WINDOW_GRAMS)), F.array(last)))
+    duplicates = F.aggregate(starts, F.lit(0), lambda s, i: s + size - F.size(F.array_distinct(F.slice(grams, i, size))))
+    return F.when(size > 0, _share(duplicates, size * F.size(starts)))
+
+
+def _long_duplicates(words: Column) -> Column:
+    """The number of grams of `LONG_GRAM` words that occurred before, by their hashes."""
+    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - LONG_GRAM + 1), lambda i: F.xxhash64(F.slice(words, i, LONG_GRAM)))
+    return F.when(F.size(words) >= LONG_GRAM, F.size(words) - LONG_GRAM + 1 - F.size(F.array_distinct(hashes))).otherwise(0)
+
+
 def statistics(df: DataFrame, text: str, common: list[str], pairs: list[str]) -> DataFrame:
     """`df` with the statistics columns added."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -113,6 +132,8 @@ def statistics(df: DataFrame, text: str, common: list[str], pairs: list[str]) ->
         n_duplicate_paragraphs=F.size("_paragraphs") - F.size(F.array_distinct("_paragraphs")),
         n_distinct_grams=F.size(F.array_distinct("_grams")),
         n_distinct_words=F.size(F.array_distinct(words)),
+        _window_gram_share=_window_share(F.col("_grams")),
+        _n_long_duplicates=_long_duplicates(words),
         n_top_gram=_runs(F.col("_grams")),
         _top_words=_runs(words),
         n_pairs=F.greatest(F.col("n_cjk") - 1, F.lit(0)),
@@ -159,7 +180,7 @@ def kind() -> Column:
         | (c("n_long_word_chars") * 2 > c("n_chars"))
         | ((c("n_tokens") >= 16) & (c("n_hex") * 2 > c("n_tokens")))
     )
-    repeated = (c("n_words") >= 12) & (c("n_distinct_words") * 4 < c("n_words")) & ((c("top_gram_char_share") >= 0.35) | (c("_top_words") * 2.2 > c("n_words")) | ((c("duplicate_gram_share") > 0.8) & (c("n_words") < 5000)))
+    repeated = (c("n_words") >= 12) & (c("n_distinct_words") * 4 < c("n_words")) & ((c("top_gram_char_share") >= 0.35) | (c("_top_words") * 2.2 > c("n_words")) | (c("_window_gram_share") > 0.8) | (c("_n_long_duplicates") > 0.8 * (c("n_words") - 2)))
     marked = (c("n_items") >= 3) | ((c("n_marked") >= 3) & (c("marked_char_share") >= 0.45) & (c("marked_line_share") >= 0.5))
     plain_lines = (c("n_lines") >= 4) & (c("short_line_share") >= 0.7) & (c("_short_chars") * 2 > c("_chars")) & (c("line_evenness") < 0.78) & (c("n_terminators") <= 1 + 0.25 * c("n_lines"))
     in_line = (c("n_separators") >= 7) & (c("n_terminators") * 8 < c("n_separators")) & (c("n_visible") < F.when(cjk, 16).otherwise(45) * (c("n_separators") + 1)) & (c("n_lines") * 4 <= c("n_separators"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +94,16 @@ def test_kinds(spark, sf):
     got = {r.doc_id: r.text_kind for r in quality.describe(df, common, pairs).collect()}
     assert [(rows[i][1], k) for i, k in sorted(got.items()) if k != rows[i][0]] == []
     assert quality.describe(df.where("false"), common, pairs).count() == 0
+
+
+def test_loops_are_junk_and_prose_is_prose_at_any_length(spark, sf):
+    common, pairs = quality.common_words(table(spark, sf, "common_words")), quality.sample_pairs(table(spark, sf, "lang_samples"))
+    words = "the mill and of a well that was in it for you with kite garden radio club lamp train song map weather craft price sound rule smell".split()
+    rng = random.Random(3)
+    block = lambda n: " ".join(f"{rng.choice(words)} {rng.choice(words)}{rng.randint(0, 40) or '.'}" for _ in range(n // 2)) + ". "
+    loops = [block(60) * 80, block(60) * 90, block(60) * 400, block(1500) * 20]
+    long_prose = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id = 8225").first().text
+    df = spark.createDataFrame(list(enumerate([*loops, long_prose])), "doc_id long, text string")
+    got = {r.doc_id: (r.text_kind, r.n_words, r.duplicate_gram_share) for r in quality.describe(df, common, pairs).collect()}
+    assert [got[i][0] for i in range(5)] == ["junk"] * 4 + ["prose"]
+    assert got[1][1] > 5000 and got[4][1] > 5000 and got[4][2] > 0.8
