@@ -65,6 +65,23 @@ def _runs(items: Column) -> Column:
     return F.aggregate(F.array_sort(items), zero, step, lambda a: a["best"])
 
 
+def _top_gram(grams: Column) -> Column:
+    """The most frequent gram; of those that are as frequent the longest, then the last by its order. NULL without grams."""
+    rank = lambda n, x: F.struct(n.alias("n"), F.length(x).alias("size"), x.alias("gram"))
+    now = lambda a, x: F.when(x.eqNullSafe(a["last"]), a["now"] + 1).otherwise(F.lit(1))
+    step = lambda a, x: F.struct(x.alias("last"), now(a, x).alias("now"), F.greatest(a["best"], rank(now(a, x), x)).alias("best"))
+    none = F.lit(None).cast("string")
+    zero = F.struct(none.alias("last"), F.lit(0).alias("now"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("size"), none.alias("gram")).alias("best"))
+    return F.aggregate(F.array_sort(grams), zero, step, lambda a: a["best"]["gram"])
+
+
+def _covered_chars(words: Column, grams: Column, gram: Column) -> Column:
+    """The characters of the words that lie in an occurrence of the gram of three words; words of two occurrences count once."""
+    starts = lambda i: F.coalesce(F.get(grams, i) == gram, F.lit(False))
+    each = F.transform(words, lambda w, i: F.when(starts(i) | starts(i - 1) | starts(i - 2), F.length(w)).otherwise(0))
+    return F.aggregate(each, F.lit(0), lambda s, n: s + n)
+
+
 def _window_share(grams: Column) -> Column:
     """The share of duplicates within windows of a fixed size, over all windows; the last one ends with the text."""
     size = F.least(F.size(grams), F.lit(WINDOW_GRAMS))
@@ -134,12 +151,13 @@ def statistics(df: DataFrame, text: str, common: list[str], pairs: list[str]) ->
         n_distinct_words=F.size(F.array_distinct(words)),
         _window_gram_share=_window_share(F.col("_grams")),
         _n_long_duplicates=_long_duplicates(words),
-        n_top_gram=_runs(F.col("_grams")),
+        _top_gram=_top_gram(F.col("_grams")),
         _top_words=_runs(words),
         n_pairs=F.greatest(F.col("n_cjk") - 1, F.lit(0)),
         n_known_pairs=F.size(F.filter(F.flatten(F.transform(F.regexp_extract_all(plain, F.lit(f"({_CJK}{{2,}})"), 1), lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, F.lit(2))))), lambda p: p.isin(*pairs))) if pairs else F.lit(0),
     )
     c = F.col
+    df = _bind(df, _top_gram_chars=_covered_chars(words, c("_grams"), c("_top_gram")))
     df = _bind(
         df,
         mean_word_length=_share(c("word_chars"), c("n_words")),
@@ -156,7 +174,7 @@ def statistics(df: DataFrame, text: str, common: list[str], pairs: list[str]) ->
         duplicate_line_share=_share(c("n_duplicate_lines"), c("n_lines")),
         duplicate_paragraph_share=_share(c("n_duplicate_paragraphs"), F.size("_paragraphs")),
         duplicate_gram_share=_share(F.size("_grams") - c("n_distinct_grams"), F.size("_grams")),
-        top_gram_char_share=_share(F.least(c("n_top_gram") * 3, c("n_words")), c("n_words")),
+        top_gram_char_share=_share(c("_top_gram_chars"), c("word_chars")),
         line_evenness=_share(_share(c("_body"), F.greatest(c("n_lines") - 1, F.lit(1))), c("_longest_line")),
         cell_line_share=F.greatest(
             _share(c("_tabs"), c("n_lines")),

@@ -107,3 +107,11 @@ def test_loops_are_junk_and_prose_is_prose_at_any_length(spark, sf):
     got = {r.doc_id: (r.text_kind, r.n_words, r.duplicate_gram_share) for r in quality.describe(df, common, pairs).collect()}
     assert [got[i][0] for i in range(5)] == ["junk"] * 4 + ["prose"]
     assert got[1][1] > 5000 and got[4][1] > 5000 and got[4][2] > 0.8
+
+
+def test_characters_of_the_dominant_gram(spark):
+    long = "extraordinarily incomprehensible internationalisation"
+    texts = {f"{long} a b {long} c d": 2 * 51 / (2 * 51 + 4), "a b a b a z incomprehensible": 5 / 22, "x x x x incomprehensible": 4 / 20, "one two": 0.0, "": None}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [r.top_gram_char_share for r in quality.describe(df, [], []).orderBy("doc_id").collect()]
+    assert got == [w if w is None else pytest.approx(w) for w in texts.values()]
