@@ -20,7 +20,16 @@ LINKS = ("href", "src", "action", "formaction", "poster")
 VOID = ("br", "hr", "img", "input", "source", "track", "wbr", "area", "base", "col", "meta", "link", "embed")
 
 
-class _Plain(HTMLParser):
+class _Parser(HTMLParser):
+    def parse_marked_section(self, i, report=1):
+        """`<![` before anything but a section's name is a comment up to the next `>`, as browsers read it; the library raises."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
+
+class _Plain(_Parser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
@@ -52,7 +61,7 @@ def plain(value: str | None) -> str:
     return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
 
 
-class _Safe(HTMLParser):
+class _Safe(_Parser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
         self.out: list[str] = []

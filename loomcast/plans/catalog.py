@@ -630,12 +630,12 @@ def rfc2822_dates(spark, d):
 
 @query()
 def html_text(spark, d):
-    return table(spark, d, "documents").where(F.contains("text", F.lit("<"))).select("doc_id", text.plain_text("text").alias("plain"))
+    return table(spark, d, "documents").select("doc_id", text.plain_text("text").alias("plain"))
 
 
 @query()
 def html_sanitize(spark, d):
-    return table(spark, d, "documents").where(F.contains("text", F.lit("<"))).select("doc_id", text.sanitize_html("text").alias("safe"))
+    return table(spark, d, "documents").select("doc_id", text.sanitize_html("text").alias("safe"))
 
 
 @query()

@@ -129,6 +129,16 @@ def test_text_functions(spark):
     assert tuple(one(spark, text.content_range(c), x="bytes 0-9/10")) == (0, 9, 10) and one(spark, text.content_range(c), x="bytes 5-3/10") is None
 
 
+def test_html_of_every_document(spark, tmp_path):
+    from loomcast.plans import catalog
+
+    assert text.plain("a <![<({].@&} b > c") == "a c" and text.safe("a <![$~ b > <b>c</b>") == "a  <b>c</b>"
+    texts = ["Tom &amp; Ann", "a  b \n\n\n\n c", "<p>x</p>", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = lambda name: [r[1] for r in catalog.QUERIES[name](spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert got("html_text") == ["Tom & Ann", "a b\n\nc", "x", "", ""] and got("html_sanitize") == ["Tom &amp; Ann", texts[1], "<p>x</p>", "", ""]
+
+
 def test_scalar_functions(spark):
     c = F.col("x")
     for x, want in [("1:02:03.004", 3723.004), ("02:03,500", 123.5), ("00:61.000", None), ("junk", None)]:
