@@ -135,6 +135,14 @@ def exact_scope(spark, d):
     return a.where(scope).join(keys, "job_key", "left_semi").select("id", "job_key")
 
 
+@query("SELECT id, job_key FROM audio_urls WHERE source = 'youtube' AND artifact_kind = 'video_bundle' AND language = 'en' AND job_key IN (SELECT job_key FROM audio_urls WHERE status = 'failed' AND job_key <> '')")
+def whole_scope(spark, d):
+    """As `exact_scope`, over all ids."""
+    a = _queue(spark, d)
+    keys = a.where("status = 'failed' and job_key <> ''").select("job_key").distinct()
+    return a.where(filters.queue_filter(source="youtube", artifact_kind="video_bundle", language="en")).join(keys, "job_key", "left_semi").select("id", "job_key")
+
+
 @query("SELECT bvid FROM (SELECT DISTINCT bvid FROM bilibili_sources WHERE coalesce(bvid, '') <> '') b WHERE EXISTS (SELECT 1 FROM audio_urls a WHERE a.source_id = b.bvid)")
 def known_items(spark, d):
     return filters.present(table(spark, d, "bilibili_sources").select("bvid").distinct(), _queue(spark, d).select(F.col("source_id").alias("bvid")), "bvid")
@@ -332,6 +340,13 @@ def insert_absent(spark, d):
     return identity.insert_absent(a.where("id % 2 = 1"), a.where("id % 2 = 0")).select("id")
 
 
+@query("SELECT f.id FROM audio_urls f WHERE f.status IS NOT DISTINCT FROM 'pending' AND NOT EXISTS (SELECT 1 FROM audio_urls s WHERE s.status IS DISTINCT FROM 'pending' AND ((coalesce(f.job_key, '') <> '' AND s.job_key = f.job_key AND s.source = f.source AND s.artifact_kind = f.artifact_kind) OR (coalesce(f.job_key, '') = '' AND ((coalesce(s.job_key, '') = '' AND s.url = f.url) OR (coalesce(s.source_id, '') <> '' AND s.source = f.source AND s.source_id = f.source_id AND s.artifact_kind = f.artifact_kind)))))")
+def insert_absent_pending(spark, d):
+    """The pending rows are incoming, all others are stored; `insert_absent` splits by the id."""
+    a, pending = _queue(spark, d), F.col("status").eqNullSafe("pending")
+    return identity.insert_absent(a.where(pending), a.where(~pending)).select("id")
+
+
 @query("""WITH n AS (SELECT source_id, arg_max(title, id) FILTER (coalesce(title, '') <> '') AS t, arg_max(author, id) FILTER (coalesce(author, '') <> '') AS a FROM audio_urls WHERE id % 2 = 1 GROUP BY 1)
 SELECT s.id, coalesce(n.t, s.title) AS title, coalesce(n.a, s.author) AS author FROM audio_urls s LEFT JOIN n USING (source_id) WHERE s.id % 2 = 0""")
 def enrich_last_nonempty(spark, d):
@@ -339,6 +354,14 @@ def enrich_last_nonempty(spark, d):
     return identity.enrich(a.where("id % 2 = 0").select("id", "source_id", "title", "author"), a.where("id % 2 = 1"), ["source_id"], ["title", "author"], "id").select("id", "title", "author")
 
 
+@query("""WITH n AS (SELECT source_id, arg_max(title, id) FILTER (coalesce(title, '') <> '') AS t, arg_max(author, id) FILTER (coalesce(author, '') <> '') AS a FROM audio_urls WHERE status IS NOT DISTINCT FROM 'pending' GROUP BY 1)
+SELECT s.id, coalesce(n.t, s.title) AS title, coalesce(n.a, s.author) AS author FROM audio_urls s LEFT JOIN n USING (source_id) WHERE s.status IS DISTINCT FROM 'pending'""")
+def enrich_from_pending(spark, d):
+    """The pending rows are incoming, all others are stored; `enrich_last_nonempty` splits by the id."""
+    a, pending = _queue(spark, d), F.col("status").eqNullSafe("pending")
+    return identity.enrich(a.where(~pending).select("id", "source_id", "title", "author"), a.where(pending), ["source_id"], ["title", "author"], "id").select("id", "title", "author")
+
+
 @query("SELECT bvid, batch_id FROM bilibili_sources b WHERE EXISTS (SELECT 1 FROM audio_urls a WHERE a.source_id = b.bvid) OR EXISTS (SELECT 1 FROM audio_urls a WHERE a.job_key <> '' AND a.job_key = b.bvid || ':p1:' || coalesce(b.content_language, ''))")
 def semi_or_match(spark, d):
     b, a = table(spark, d, "bilibili_sources").select("bvid", "batch_id", "content_language"), _queue(spark, d)

@@ -129,6 +129,20 @@ def test_text_functions(spark):
     assert tuple(one(spark, text.content_range(c), x="bytes 0-9/10")) == (0, 9, 10) and one(spark, text.content_range(c), x="bytes 5-3/10") is None
 
 
+def test_scope_and_sides_of_all_ids(spark, tmp_path):
+    from loomcast.plans import catalog
+
+    rows = [
+        (2, "pending", "k1", "u1", "a", "new"), (4, "done", "k1", "u1", "a", "old"), (6, "pending", "k2", "u2", "b", "t"), (8, "pending", "", "u3", "c", "t"), (9, "done", "", "u3", "d", "t"),
+        (7001, "failed", "k3", "u4", "e", "t"), (9000, None, "k3", "u5", "f", "t"),
+    ]
+    columns = "id long, status string, job_key string, url string, source_id string, title string, author string, source string, artifact_kind string, language string"
+    spark.createDataFrame([(*r, "", "youtube", "video_bundle", "en") for r in rows], columns).write.parquet(str(tmp_path / "audio_urls.parquet"))
+    got = lambda name: sorted(tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect())
+    assert got("whole_scope") == [(7001, "k3"), (9000, "k3")] and got("insert_absent_pending") == [(6,)]
+    assert got("enrich_from_pending") == [(4, "new", ""), (9, "t", ""), (7001, "t", ""), (9000, "t", "")]
+
+
 def test_html_of_every_document(spark, tmp_path):
     from loomcast.plans import catalog
 
