@@ -13,6 +13,7 @@ NULL, empty and blank texts give NULL. Rows are never dropped; repeated rows giv
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from itertools import chain
 
@@ -35,8 +36,8 @@ MONTHS = {
 #: By how much a row's lag may differ from the usual: less than the step between neighbouring zones.
 TOLERANCE_S = 900
 
-#: Zones tried for a source whose clock isn't stated.
-CANDIDATE_ZONES = (
+#: Common zones: of histories that fit as well, one of these is preferred.
+COMMON_ZONES = (
     "UTC", "America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles", "America/Sao_Paulo", "America/Mexico_City", "Europe/London", "Europe/Berlin",
     "Europe/Moscow", "Asia/Kolkata", "Asia/Shanghai", "Asia/Tokyo", "Australia/Sydney", "Pacific/Auckland",
 )
@@ -62,6 +63,18 @@ def known_zones(spark: SparkSession) -> list[str]:
     return sorted(str(z) for z in spark._jvm.java.time.ZoneId.getAvailableZoneIds() if "/" in str(z) or str(z) == "UTC")
 
 
+def distinct_histories(spark: SparkSession, since_micros: int) -> list[str]:
+    """One zone of each offset history from then on (a fixed set): a common one if there is any, else the first by name."""
+    since = spark._jvm.java.time.Instant.ofEpochSecond(since_micros // 1_000_000)
+    year = str(1970 + since_micros // 31_556_952_000_000 - 1)
+    found: dict[tuple, str] = {}
+    for zone in sorted(known_zones(spark), key=lambda z: (z not in COMMON_ZONES, z.startswith(("Etc/", "SystemV/")), z)):
+        rules = spark._jvm.java.time.ZoneId.of(zone).getRules()
+        later = tuple(x for x in re.findall(r"Transition\[[^\[\]]*\]", str(rules.getTransitions().toString())) if re.search(r" at (\d{4})", x)[1] >= year)
+        found.setdefault((str(rules.getOffset(since).toString()), later, str(rules.getTransitionRules().toString())), zone)
+    return list(found.values())
+
+
 def _bind(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that are worked out once: the generator keeps Catalyst from copying their expressions into each use."""
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
@@ -185,25 +198,31 @@ def resolve(df: DataFrame, clock: str) -> DataFrame:
     return _bind(df, utc_text=text).drop(*_WORK, "_zone", "_u1", "_u2", "_ok1", "_ok2")
 
 
-def estimate_zones(rows: DataFrame, source: str, local: str, ingested: str, candidates: tuple[str, ...] = CANDIDATE_ZONES, usual_lag_s: float | None = None, max_lag_s: int = 14 * 86_400) -> DataFrame:
+def estimate_zones(rows: DataFrame, source: str, local: str, ingested: str, candidates: list[str] | None = None, usual_lag_s: float | None = None, max_lag_s: int = 14 * 86_400) -> DataFrame:
     """The clock of each source whose values carry no zone: columns `source`, `clock_zone`, `violations`, `n_rows`.
 
     Each candidate offset history turns the local microseconds (`local`) into instants; a violation is an instant after the
     row was taken in (`ingested`, UTC microseconds), more than `max_lag_s` before it, or off the usual lag (that of values whose zone is stated,
     if known) by more than `TOLERANCE_S`, or a local time that the history skips. The history with the fewest violations wins, then the one whose
-    median lag is nearest to the usual, then the first by name.
+    median lag is nearest to the usual (if that isn't known, to zero by half hours), then a common one, then the first by name. All known zones
+    are tried unless `candidates` are given. If even the best history violates most rows, the source stays unresolved: its `clock_zone` is NULL.
     One partial aggregate per (source, candidate): a source that holds most rows shuffles no more than any other.
     Rows without a source, time or ingestion time are no evidence; a source without evidence gets no row.
     """
     base = rows.select(F.col(source).alias("source"), F.col(local).alias("l"), F.col(ingested).alias("g")).where("source is not null and l is not null and g is not null")
+    if candidates is None:
+        first = base.agg(F.min("l").alias("l")).collect()[0]["l"]  # one number
+        candidates = distinct_histories(base.sparkSession, first - 2 * 86_400_000_000 if first is not None else 0)
     tried = base.withColumn("clock_zone", F.explode(F.array(*map(F.lit, candidates))))
     tried = tried.withColumn("u", F.unix_micros(F.to_utc_timestamp(F.timestamp_micros("l"), F.col("clock_zone"))))
     lag = (F.col("g") - F.col("u")) / 1e6
     far = F.lit(False) if usual_lag_s is None else F.abs(lag - usual_lag_s) > TOLERANCE_S
     wrong = far | (lag < -60) | (lag > max_lag_s) | (_local(F.col("u"), F.col("clock_zone")) != F.col("l"))
     each = tried.groupBy("source", "clock_zone").agg(F.count_if(wrong).alias("violations"), F.abs(F.percentile_approx(lag, 0.5) - (usual_lag_s or 0.0)).alias("lag"), F.count("*").alias("n_rows"))
-    best = each.groupBy("source").agg(F.min_by(F.struct("clock_zone", "violations", "n_rows"), F.struct("violations", F.round("lag", 3), "clock_zone")).alias("b"))
-    return best.select("source", "b.clock_zone", "b.violations", "b.n_rows")
+    near = F.floor(F.col("lag") / 1800).cast("double") if usual_lag_s is None else F.round("lag", 3)
+    best = each.groupBy("source").agg(F.min_by(F.struct("clock_zone", "violations", "n_rows"), F.struct("violations", near, ~F.col("clock_zone").isin(*COMMON_ZONES), F.round("lag", 3), "clock_zone")).alias("b"))
+    zone = F.when(F.col("b.violations") * 2 <= F.col("b.n_rows"), F.col("b.clock_zone")).alias("clock_zone")
+    return best.select("source", zone, "b.violations", "b.n_rows")
 
 
 def without_zone(parts: DataFrame) -> DataFrame:

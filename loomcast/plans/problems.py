@@ -27,7 +27,7 @@ def p1_zones(spark: SparkSession, d: str) -> DataFrame:
     """The clock that each source's own zone-less times point to, beside the stated one."""
     clocks = table(spark, d, "source_clocks")
     rows = table(spark, d, "audio_urls").select("source", "discovered_at", "downloaded_at")
-    parts = timestamps.with_parts(rows.join(F.broadcast(clocks.select("source", "day_order")), "source"), "discovered_at", "day_order", timestamps.known_zones(spark))
+    parts = timestamps.with_parts(rows.join(F.broadcast(clocks.select("source", "day_order")), "source", "left"), "discovered_at", "day_order", timestamps.known_zones(spark))
     seen = parts.withColumn("g", F.unix_micros(F.try_to_timestamp(F.concat("downloaded_at", F.lit("Z")))))
     found = timestamps.estimate_zones(timestamps.without_zone(seen), "source", "_local", "g", usual_lag_s=timestamps.usual_lag(seen, "g"))
     return found.join(clocks.select("source", F.col("clock_zone").alias("stated_zone")), "source", "left").select("source", "stated_zone", F.col("clock_zone").alias("estimated_zone"), "violations", "n_rows")

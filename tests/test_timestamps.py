@@ -97,6 +97,30 @@ def test_unstated_clock_is_estimated(spark):
     assert out[0].utc_text == "2021-12-31T15:00:00.000000Z"
 
 
+def test_unstated_clocks_of_any_zone(spark, tmp_path):
+    from loomcast.plans import problems
+
+    zones = {"np": "Asia/Kathmandu", "za": "Africa/Johannesburg", "az": "America/Phoenix", "ny": "America/New_York"}
+    times = [dt.datetime(2022, 1, 3, 12) + dt.timedelta(days=7 * i) for i in range(52)]
+    text = lambda t: t.replace(tzinfo=None).isoformat()
+    rows = [(s, text(t.replace(tzinfo=dt.timezone.utc).astimezone(ZoneInfo(z))), text(t + dt.timedelta(minutes=20))) for s, z in zones.items() for t in times]
+    rows += [("utc", text(t) + "Z", text(t + dt.timedelta(minutes=20))) for t in times]
+    rows += [("none", text(t), text(t + dt.timedelta(hours=i * i % 37 - 18, minutes=i * 7 % 60))) for i, t in enumerate(times)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, source string, discovered_at string, downloaded_at string").cache()
+    clocks = spark.createDataFrame(CLOCKS, "source string, clock_zone string, day_order string")
+    df.write.parquet(str(tmp_path / "audio_urls.parquet"))
+    clocks.write.parquet(str(tmp_path / "source_clocks.parquet"))
+    got = {r.source: r for r in problems.p1_zones(spark, str(tmp_path)).collect()}
+    assert set(got) == {*zones, "none"} and got["none"].estimated_zone is None and got["np"].stated_zone is None
+    for s, z in zones.items():
+        for month in (1, 7):
+            day = dt.datetime(2022, month, 1)
+            assert ZoneInfo(got[s].estimated_zone).utcoffset(day) == ZoneInfo(z).utcoffset(day)
+    out = {r.id: r.utc_text for r in T.normalize(df, ["discovered_at"], "source", clocks, "downloaded_at").collect()}
+    for i, (s, *_) in enumerate(rows):
+        assert out[i] == ("unreadable" if s == "none" else text(times[i % 52]) + ".000000Z")
+
+
 def test_estimates_agree_with_stated_clocks(spark):
     from loomcast.plans import problems
 
