@@ -48,21 +48,32 @@ def report(items: DataFrame, targets: DataFrame, key: str = "source_id") -> Data
     return out.select("plan_id", "target_id", "items", "sample_size", "needed", "observed", "accept_probability", "drawn", "deficit")
 
 
-def draw(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> DataFrame:
-    """The samples: `plan_id`, `target_id`, `item`; exactly `drawn` items of each target of the report."""
+def candidates(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """The items that each cell accepts, `plan_id`, `target_id`, `item`, `u`, `needed`, and the plan. A cell that accepted too few has all its items."""
     from ..session import small_side
 
     members = _memberships(items, targets, key)
     plan = small_side(report(items, targets, key).select("plan_id", "target_id", "needed", "observed", "accept_probability"))
     unit = (F.xxhash64(F.lit(seed), "plan_id", "target_id", "item").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("u")
     hashed = members.select("plan_id", "target_id", "item", unit).join(plan, ["plan_id", "target_id"])
-    # Independent acceptance, with slack for small cells; a cell that still came out short (rare) is completed from its other items below.
+    # Independent acceptance, with slack for small cells; a cell that still came out short (rare) is completed from its other items.
     limit = F.least(F.lit(1.0), F.col("accept_probability") * OVERSAMPLING + SLACK / F.greatest(F.col("observed"), F.lit(1)))
-    hashed = hashed.withColumn("accepted", F.col("u") < limit).withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))
-    bins = hashed.groupBy("plan_id", "target_id", "bin", "needed").agg(F.count("*").alias("n"), F.count_if("accepted").alias("n_accepted"))
+    hashed = hashed.withColumn("accepted", F.col("u") < limit)
+    counts = hashed.groupBy("plan_id", "target_id").agg(F.count_if("accepted").alias("n_accepted"), F.min(F.least("needed", "observed")).alias("wanted"))
+    short = small_side(counts.where("n_accepted < wanted").select("plan_id", "target_id", F.lit(True).alias("short")))
+    return hashed.join(short, ["plan_id", "target_id"], "left").where("accepted or short").select("plan_id", "target_id", "item", "u", "needed"), plan
+
+
+def draw(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> DataFrame:
+    """The samples: `plan_id`, `target_id`, `item`; exactly `drawn` items of each target of the report."""
+    from ..session import small_side
+
+    hashed, plan = candidates(items, targets, key, seed)
+    hashed = hashed.withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))
+    bins = hashed.groupBy("plan_id", "target_id", "bin", "needed").agg(F.count("*").alias("n"))
     over = Window.partitionBy("plan_id", "target_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     before = bins.withColumn("before", F.coalesce(F.sum("n").over(over), F.lit(0)))
-    # Accepted items are the lowest hashes, so counting from below over all items corrects both ways with one rule.
+    # Accepted items are the lowest hashes, so counting from below corrects both ways with one rule.
     edge = small_side(before.where("before < needed").select("plan_id", "target_id", "bin", "before", (F.col("before") + F.col("n") > F.col("needed")).alias("edge")), 1_000_000)
     kept = hashed.drop("needed").join(edge.join(plan.select("plan_id", "target_id", "needed"), ["plan_id", "target_id"]), ["plan_id", "target_id", "bin"])
     whole = kept.where("not edge").select("plan_id", "target_id", "item")

@@ -115,3 +115,14 @@ def test_characters_of_the_dominant_gram(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = [r.top_gram_char_share for r in quality.describe(df, [], []).orderBy("doc_id").collect()]
     assert got == [w if w is None else pytest.approx(w) for w in texts.values()]
+
+
+def test_sampling_accepts_by_probability(spark, monkeypatch):
+    items = spark.createDataFrame([(f"i{k}", "c", "s", "en") for k in range(3000)], "source_id string, category string, source string, language string")
+    targets = spark.createDataFrame([(1, 1, 1000, "c", "*", "*", 10000, 1)], "plan_id long, target_id long, sample_bp int, category string, source string, language string, share_bp int, min_rows int")
+    whole = sorted(r.item for r in sampling.draw(items, targets).collect())
+    assert len(whole) == 300 <= sampling.candidates(items, targets)[0].count() < 500
+    monkeypatch.setattr(sampling, "OVERSAMPLING", 0.5)
+    monkeypatch.setattr(sampling, "SLACK", 0)
+    assert sampling.candidates(items, targets)[0].count() == 3000
+    assert sorted(r.item for r in sampling.draw(items, targets).collect()) == whole
