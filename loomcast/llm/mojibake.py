@@ -12,6 +12,7 @@ can't be restored (`restored` is NULL); a span is left alone if what it decodes
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -391,13 +392,19 @@ def repair(text: str | None) -> tuple[bool, str | None, str]:
         # UTF-8 that accounts for nearly every unusual character outweighs what the runs would be in a legacy encoding.
         whole = [x for x in tried if x[1].startswith("utf-8") and _covered(x[1].split(" as ")[1], now) >= 0.9]
         best = min(whole or tried, key=lambda x: _oddness(x[0]))
-        if _oddness(best[0]) > 0.8 * _oddness(now):
+        if not _less_odd(now, best[0]):
             break
         now, steps = best[0], [*steps, best[1]]
     lost = bool(_LOST.search(now))
     return bool(steps) or lost or bool(_LOST.search(text)), None if lost or not steps else now, ", ".join(steps)
 
 
+def _less_odd(before: str, after: str) -> bool:
+    """Whether what changed is less odd by a fifth; characters that both texts have don't count, so that legitimate accents elsewhere hide nothing."""
+    a, b = Counter(before), Counter(after)
+    return _oddness("".join((b - a).elements())) <= 0.8 * _oddness("".join((a - b).elements()))
+
+
 def _oddness(text: str) -> float:
     good = frequent_hanzi()
     cost = 0.0

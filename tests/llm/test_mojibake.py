@@ -44,6 +44,11 @@ def test_only_the_span_is_decoded():
     assert M.repair("MANHÃ EM Vim: a previsÃ£o")[1] == "MANHÃ EM Vim: a previsão"
 
 
+def test_damage_among_legitimate_accents():
+    clean = "La canción de los niños: información, educación, música, árbol, útil, razón y corazón – línea"
+    assert M.repair(clean)[0] is False and M.repair(clean.replace("–", "–".encode().decode("cp1252")))[:2] == (True, clean)
+
+
 def test_very_long_text_and_table(spark):
     assert M.repair("naïve text " * 5000 + "CafÃ© " * 5000)[1] == "naïve text " * 5000 + "Café " * 5000
     rows = [(1, "CafÃ©", None, "x"), (1, "CafÃ©", None, "x"), (None, None, "NÃ´m", "y"), (2, "", " ", "z")]
