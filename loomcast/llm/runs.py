@@ -82,7 +82,7 @@ def within(a: str, b: str, most: int = MAX_EDITS) -> bool:
 
 def repeats(before: tuple, cue: tuple, max_gap: float = MAX_GAP_S, max_edits: int = MAX_EDITS) -> bool:
     """Whether a cue repeats the one before it."""
-    if before[0] != cue[0] or cue[1] != before[1] + 1 or not cue[2] - before[3] <= max_gap + 1e-9:
+    if before[0] != cue[0] or cue[1] != before[1] + 1 or cue[2] is None or before[3] is None or not cue[2] - before[3] <= max_gap + 1e-9:
         return False
     a, b = plain(before[4]), plain(cue[4])
     return bool(a[0]) and bool(b[0]) and a[1] == b[1] and within(a[0], b[0], max_edits)
@@ -204,10 +204,12 @@ def collapse(df: DataFrame, track: str = "track_id", pos: str = "pos", start: st
 
     encoded = checkpointed(ranged.mapInPandas(encode, _SCHEMA))
     done, open_ends = encoded.where("kind = 'run'"), encoded.where("kind = 'summary'")
-    # Each level joins FAN_IN stretches, so ranges beyond FAN_IN ** 3 tasks would want another level.
-    for _ in range(3):
-        merged = open_ends.groupBy(F.floor(F.col("part") / FAN_IN).alias("g")).applyInPandas(merge, _SCHEMA)
+    # Each level joins FAN_IN stretches, until one summary is left; it is one small row for each of them, written once and read twice.
+    stretches = (encoded.agg(F.max("part")).first()[0] or 0) + 1
+    while stretches > 1:
+        merged = checkpointed(open_ends.groupBy(F.floor(F.col("part") / FAN_IN).alias("g")).applyInPandas(merge, _SCHEMA))
         done, open_ends = done.unionByName(merged.where("kind = 'run'")), merged.where("kind = 'summary'")
+        stretches = -(-stretches // FAN_IN)
     run = lambda f, p: f.select(*[F.col(f"{p}_{a}").alias(b) for a, b in (("track", "track_id"), ("pos", "first_pos"), ("to", "last_pos"), ("n", "n_cues"), ("start", "run_start"), ("end", "run_end"), ("text", "text"))])
     ends = run(open_ends, "fr").unionByName(run(open_ends.where("lr_pos is not null"), "lr"))
     runs = run(done, "fr").unionByName(ends).where("n_cues > 1")
