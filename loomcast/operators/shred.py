@@ -4,14 +4,15 @@ A record is first cut into columns: one per leaf path, each a sequence of (value
 Dremel encoding. The repetition level names the repeated ancestor at which an entry starts anew, the definition level counts how many
 of the path's steps are present. Tables, one per repeated ancestor, are then put together again from the level sequences alone.
 
-Defined results: NULL, blank, broken and non-object records give no rows (`readable` tells which); a null element takes its place but
-is no row; an empty object is a row without columns; repeated keys keep the last value; nesting that the JSON reader refuses is
-unreadable; values of any length are kept whole.
+Defined results: NULL, blank, broken and non-object records give no rows; a null element takes its place but
+is no row; an empty object is a row without columns; repeated keys keep the last value; nesting that the JSON reader refuses (some thousand
+levels) is unreadable, any other depth is shredded; JSON kept as text is read however often it was kept so; values of any length are kept whole.
 """
 
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,10 +25,12 @@ LONE_OBJECTS = ("common.people", "assets.transcripts", "assets.chapters", "asset
 #: Keys whose members may hold JSON kept as text.
 TEXT_HOLDERS = ("source_data",)
 
-#: How often a text may be JSON of a text again.
-TEXT_DEPTH = 4
+#: Frames for the walks below, which need a few a level: above what the JSON reader's own limit lets in.
+MOST_FRAMES = 100_000
 
-_OBJECT, _NULL = "{}", None
+_OBJECT = "{}"
+#: No object without a brace, which JSON kept as text may write as an escape.
+_HAS_OBJECT = "contains(t, '{') or contains(lower(t), 'u007b')"
 
 NODE_SCHEMA = "node_path string, parent_path string, table_path string, position int, depth int, fields map<string,string>"
 LEVEL_SCHEMA = "leaf_path string, rep array<int>, def array<int>, value array<string>"
@@ -41,9 +44,7 @@ def read_record(text: str | None, lone: tuple[str, ...] = LONE_OBJECTS, holders:
     """The record as an object, JSON kept as text taken for what it holds; None if it is unreadable or no object."""
 
     def held(value):
-        for _ in range(TEXT_DEPTH):
-            if not isinstance(value, str):
-                break
+        while isinstance(value, str):  # each reading takes the quotes away, so it ends
             value = json.loads(value, parse_constant=_refuse)
         return value
 
@@ -83,6 +84,7 @@ def shred(record: dict) -> dict[tuple[str, ...], list[tuple[int, int, str | None
     instances. An object's own presence is a leaf too (last step `{}`): it keeps empty objects apart from null ones.
     """
     columns: dict[tuple[str, ...], list] = {}
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), MOST_FRAMES))
     schema = _schema_of(record)
 
     def missing(node: dict, path: tuple, rep: int, defined: int) -> None:
@@ -211,7 +213,7 @@ def nodes(df: DataFrame, key: str = "id", text: str = "metadata_json") -> DataFr
             yield out.astype({"k": b["k"].dtype}) if len(out) else out
 
     kind = df.schema[key].dataType.simpleString()
-    narrow = balanced(df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").contains("{")))
+    narrow = balanced(df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(_HAS_OBJECT))
     return narrow.mapInPandas(run, f"k {kind}, {NODE_SCHEMA}").withColumnRenamed("k", key)
 
 
@@ -228,7 +230,7 @@ def levels(df: DataFrame, key: str = "id", text: str = "metadata_json") -> DataF
             yield pd.DataFrame([(k, p.removesuffix("="), r, d, v) for k, p, r, d, v in rows], columns=["k", "leaf_path", "rep", "def", "value"])
 
     kind = df.schema[key].dataType.simpleString()
-    narrow = balanced(df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").contains("{")))
+    narrow = balanced(df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(_HAS_OBJECT))
     return narrow.mapInPandas(run, f"k {kind}, {LEVEL_SCHEMA}").withColumnRenamed("k", key)
 
 

@@ -45,7 +45,12 @@ def test_defined_cases():
     assert node_paths("{}") == []
     assert node_paths('{"a": [null, {}, 3, {"b": [[{"c": 1}]]}]}') == ["a[1]", "a[3]", "a[3].b[0][0]"]
     assert node_paths("[" * 100_000) is None
-    assert node_paths('{"a":' * 5000 + "1" + "}" * 5000) in ([], None)
+    assert node_paths('{"a":' * 5000 + "1" + "}" * 5000) == []
+    assert len(node_paths('{"a":' + '[{"b":' * 1200 + "1" + "}]" * 1200 + "}")) == 1200
+    text = '{"a": [{}]}'
+    for _ in range(9):
+        text = json.dumps(text)
+    assert node_paths(text) == ["a[0]"]
 
 
 def test_text_counts_as_what_it_holds():
@@ -76,3 +81,13 @@ def test_levels_table(spark):
     df = spark.createDataFrame([(7, '{"a": [{"b": [1, 2]}, {"b": []}, {"b": [3]}]}')], "id long, metadata_json string")
     r = S.levels(df).where("leaf_path = 'a[].b[]'").first()
     assert (r.value, r.rep) == (["1", "2", None, "3"], [0, 2, 1, 1])
+
+
+def test_deep_records_beside_others(spark):
+    deep = '{"a":' + '[{"b":' * 1200 + "1" + "}]" * 1200 + "}"
+    escaped = '"\\u007b\\"p\\": [\\u007b}]}"'
+    rows = [(1, '{"p": [{"q": 1}]}'), (2, deep), (3, '{"a":' * 5000 + "1" + "}" * 5000), (4, "[" * 200_000), (5, '{"p": [{"q": 1}]}'), (6, escaped)]
+    df = spark.createDataFrame(rows, "id long, metadata_json string")
+    got = {r.id: r["count"] for r in S.nodes(df).groupBy("id").count().collect()}
+    assert got == {1: 1, 2: 1200, 5: 1, 6: 1}
+    assert S.levels(df).where("id = 2").count() == 1200
