@@ -72,14 +72,15 @@ class Model:
         """The log likelihood of a word in each language, over all segmentations."""
         if (hit := self.cache.get(w)) is not None:
             return hit
-        out = np.concatenate([self._forward(w[i : i + 32])[None] for i in range(0, len(w), 32)]).sum(axis=0)
+        out = self._forward(w)
         if len(self.cache) < CACHE:
             self.cache[w] = out
         return out
 
     def _forward(self, w: str) -> np.ndarray:
-        """Sums over segmentations; stretches of 32 characters keep the plain probabilities within the range of doubles."""
+        """Sums over all segmentations of the whole word; scaled now and then, which keeps probabilities within the range of doubles."""
         alpha: list = [1.0]
+        scaled = 0.0
         get, longest = self.pieces.get, self.longest
         for end in range(1, len(w) + 1):
             now = None
@@ -91,7 +92,13 @@ class Model:
                 term = alpha[end - 1] * self.unknown
                 now = term if now is None else now + term
             alpha.append(now)
-        return np.log(alpha[-1])
+            if end % 24 == 0:
+                # Only the last `longest` sums are read again; each language is scaled by itself.
+                top = np.maximum(alpha[-1], 1e-300)
+                for i in range(max(0, len(alpha) - longest), len(alpha)):
+                    alpha[i] = alpha[i] / top
+                scaled = scaled + np.log(top)
+        return np.log(alpha[-1]) + scaled
 
 
 def units(sentence: str) -> list[str]:
@@ -140,10 +147,6 @@ def fit(samples: list[tuple[str, str]], path: str = VOCABULARY, rounds: int = RO
     return Model(languages, {p: pieces.get(p, rest) for p in vocabulary}, longest, np.full(len(languages), math.exp(UNKNOWN)))
 
 
-def sentences(text: str) -> list[str]:
-    return [s for s in _SENTENCE.findall(text) if s.strip()]
-
-
 def judge(model: Model, sentence: str) -> tuple[str | None, float]:
     """(language, confidence) of one sentence; no language if it is too short or too uncertain."""
     us = units(sentence.lower())
@@ -157,14 +160,35 @@ def judge(model: Model, sentence: str) -> tuple[str | None, float]:
     return (model.languages[best] if confidence >= LEAST_CONFIDENCE and lead >= LEAD else None), confidence
 
 
+def segments_of(model: Model, text: str | None) -> list[tuple[int, int, str, float, int]]:
+    """(start, end, language, confidence, sentences) of each stretch of neighbouring sentences in one language; confidence is the least of its sentences.
+
+    Places count characters. A sentence without a language of its own (too short, too uncertain) goes with the one before it, or the first one after.
+    """
+    out: list[list] = []
+    first = None
+    for m in _SENTENCE.finditer(text or ""):
+        if not m[0].strip():
+            continue
+        lang, confidence = judge(model, m[0])
+        if lang is None:
+            if out:
+                out[-1][1] = m.end()
+            elif first is None:
+                first = m.start()
+        elif out and out[-1][2] == lang:
+            out[-1][1], out[-1][3], out[-1][4] = m.end(), min(out[-1][3], confidence), out[-1][4] + 1
+        else:
+            out.append([m.start() if out or first is None else first, m.end(), lang, confidence, 1])
+    return [tuple(x) for x in out]
+
+
 def languages_of(model: Model, text: str | None) -> list[tuple[str, float, int]]:
     """(language, confidence, sentences) for each language with a whole sentence in the text."""
-    found: dict[str, list[float]] = {}
-    for s in sentences(text or ""):
-        lang, confidence = judge(model, s)
-        if lang:
-            found.setdefault(lang, []).append(confidence)
-    return [(lang, max(c), len(c)) for lang, c in found.items()]
+    found: dict[str, list[tuple[float, int]]] = {}
+    for _, _, lang, confidence, n in segments_of(model, text):
+        found.setdefault(lang, []).append((confidence, n))
+    return [(lang, min(c for c, _ in x), sum(n for _, n in x)) for lang, x in found.items()]
 
 
 def fitted(samples: DataFrame, lang: str = "lang", text: str = "text", path: str = VOCABULARY) -> Model:
@@ -174,8 +198,8 @@ def fitted(samples: DataFrame, lang: str = "lang", text: str = "text", path: str
     return fit([(r[0], r[1]) for r in rows], path)
 
 
-def detect(df: DataFrame, model: Model, key: list[str], text: str, label: str) -> DataFrame:
-    """`key`..., `label_code`, `lang_code`, `confidence`, `n_sentences`, `n_languages`: one row for each language of each text.
+def segments(df: DataFrame, model: Model, key: list[str], text: str, label: str) -> DataFrame:
+    """`key`..., `label_code`, `segment`, `seg_start`, `seg_end`, `lang_code`, `confidence`, `n_sentences`, `n_languages`: one row for each segment of each text.
 
     Texts are judged where they are read; the model (some megabytes, bounded by the vocabulary) travels with the task.
     """
@@ -190,13 +214,15 @@ def detect(df: DataFrame, model: Model, key: list[str], text: str, label: str) -
         for b in batches:
             rows = []
             for r in b.itertuples(index=False):
-                found = languages_of(m, r[len(key)])
-                rows += [(*r[: len(key)], r[len(key) + 1], lang, c, n, len(found)) for lang, c, n in found]
-            yield pd.DataFrame(rows, columns=[*key, "label_code", "lang_code", "confidence", "n_sentences", "n_languages"])
+                found = segments_of(m, r[len(key)])
+                many = len({x[2] for x in found})
+                rows += [(*r[: len(key)], r[len(key) + 1], i, *x, many) for i, x in enumerate(found)]
+            yield pd.DataFrame(rows, columns=[*key, "label_code", "segment", "seg_start", "seg_end", "lang_code", "confidence", "n_sentences", "n_languages"])
 
-    return narrow.select(*key, "_t", "label_code").mapInPandas(run, f"{own}, label_code string, lang_code string, confidence double, n_sentences int, n_languages int")
+    kinds = "label_code string, segment int, seg_start int, seg_end int, lang_code string, confidence double, n_sentences int, n_languages int"
+    return narrow.select(*key, "_t", "label_code").mapInPandas(run, f"{own}, {kinds}")
 
 
 def mislabelled(found: DataFrame) -> DataFrame:
-    """Of `detect`: texts with no or a wrong label, or with several languages."""
+    """Of `segments`: those of texts with no or a wrong label, or with several languages."""
     return found.where("label_code is null or n_languages > 1 or label_code <> lang_code")

@@ -51,7 +51,7 @@ def _judged(spark: SparkSession, d: str) -> DataFrame:
     urls = table(spark, d, "audio_urls").select(F.col("id").cast("string").alias("record_key"), "description", "language")
     items = table(spark, d, "bilibili_sources").select(F.col("bvid").alias("record_key"), F.when(F.try_parse_json("candidate_metadata").isNotNull(), F.get_json_object("candidate_metadata", "$.intro")).alias("description"), F.col("content_language").alias("language"))
     both = urls.withColumn("record_table", F.lit("audio_urls")).unionByName(items.withColumn("record_table", F.lit("bilibili_sources")))
-    return langid.detect(both, model, ["record_table", "record_key"], "description", "language")
+    return langid.segments(both, model, ["record_table", "record_key"], "description", "language")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -33,8 +33,8 @@ def _memberships(items: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     return spread.join(cells, [f"_{a}" for a in ATTRIBUTES]).select("plan_id", "target_id", "item").distinct()
 
 
-def report(items: DataFrame, targets: DataFrame, key: str = "source_id") -> DataFrame:
-    """One row for each target: `plan_id`, `target_id`, `items`, `sample_size`, `needed`, `observed`, `accept_probability`, `drawn`, `deficit`."""
+def cells(items: DataFrame, targets: DataFrame, key: str = "source_id") -> DataFrame:
+    """One row for each target: `plan_id`, `target_id`, `items`, `sample_size`, `needed`, `observed`, `accept_probability`."""
     total = items.select(F.col(key).alias("item")).where("item is not null and trim(item) <> ''").agg(F.count_distinct("item").alias("items"))
     n = total.collect()[0]["items"]  # one number
     have = _memberships(items, targets, key).groupBy("plan_id", "target_id").agg(F.count("*").alias("observed"))
@@ -44,18 +44,17 @@ def report(items: DataFrame, targets: DataFrame, key: str = "source_id") -> Data
     out = out.withColumn("needed", F.greatest(F.col("min_rows").cast("long"), F.expr("cast(share_bp as bigint) * sample_size div 10000")))
     out = out.withColumn("observed", F.coalesce("observed", F.lit(0)).cast("long"))
     out = out.withColumn("accept_probability", F.when(F.col("observed") > 0, F.least(F.lit(1.0), F.col("needed") / F.col("observed"))).otherwise(0.0))
-    out = out.withColumn("drawn", F.least("needed", "observed")).withColumn("deficit", F.col("needed") - F.col("drawn"))
-    return out.select("plan_id", "target_id", "items", "sample_size", "needed", "observed", "accept_probability", "drawn", "deficit")
+    return out.select("plan_id", "target_id", "items", "sample_size", "needed", "observed", "accept_probability")
 
 
 def candidates(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """The items that each cell accepts, `plan_id`, `target_id`, `item`, `u`, `needed`, and the plan. A cell that accepted too few has all its items."""
+    """The items that each cell accepts, `plan_id`, `target_id`, `item`, `u`, `needed`, and the cells. A cell that accepted too few has all its items."""
     from ..session import small_side
 
     members = _memberships(items, targets, key)
-    plan = small_side(report(items, targets, key).select("plan_id", "target_id", "needed", "observed", "accept_probability"))
+    plan = small_side(cells(items, targets, key))
     unit = (F.xxhash64(F.lit(seed), "plan_id", "target_id", "item").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("u")
-    hashed = members.select("plan_id", "target_id", "item", unit).join(plan, ["plan_id", "target_id"])
+    hashed = members.select("plan_id", "target_id", "item", unit).join(plan.drop("items", "sample_size"), ["plan_id", "target_id"])
     # Independent acceptance, with slack for small cells; a cell that still came out short (rare) is completed from its other items.
     limit = F.least(F.lit(1.0), F.col("accept_probability") * OVERSAMPLING + SLACK / F.greatest(F.col("observed"), F.lit(1)))
     hashed = hashed.withColumn("accepted", F.col("u") < limit)
@@ -64,19 +63,29 @@ def candidates(items: DataFrame, targets: DataFrame, key: str = "source_id", see
     return hashed.join(short, ["plan_id", "target_id"], "left").where("accepted or short").select("plan_id", "target_id", "item", "u", "needed"), plan
 
 
-def draw(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> DataFrame:
-    """The samples: `plan_id`, `target_id`, `item`; exactly `drawn` items of each target of the report."""
-    from ..session import small_side
-
-    hashed, plan = candidates(items, targets, key, seed)
+def _drawn(hashed: DataFrame) -> DataFrame:
+    """Of the accepted items, exactly as many as are needed."""
     hashed = hashed.withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))
     bins = hashed.groupBy("plan_id", "target_id", "bin", "needed").agg(F.count("*").alias("n"))
     over = Window.partitionBy("plan_id", "target_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     before = bins.withColumn("before", F.coalesce(F.sum("n").over(over), F.lit(0)))
-    # Accepted items are the lowest hashes, so counting from below corrects both ways with one rule.
-    edge = small_side(before.where("before < needed").select("plan_id", "target_id", "bin", "before", (F.col("before") + F.col("n") > F.col("needed")).alias("edge")), 1_000_000)
-    kept = hashed.drop("needed").join(edge.join(plan.select("plan_id", "target_id", "needed"), ["plan_id", "target_id"]), ["plan_id", "target_id", "bin"])
+    # Accepted items are the lowest hashes, so counting from below corrects both ways with one rule. At most BINS rows a cell.
+    edge = before.where("before < needed").select("plan_id", "target_id", "bin", "before", (F.col("before") + F.col("n") > F.col("needed")).alias("edge"))
+    kept = hashed.join(edge, ["plan_id", "target_id", "bin"])
     whole = kept.where("not edge").select("plan_id", "target_id", "item")
     rank = F.row_number().over(Window.partitionBy("plan_id", "target_id").orderBy("u", "item"))
     part = kept.where("edge").withColumn("rank", rank).where("rank <= needed - before").select("plan_id", "target_id", "item")
     return whole.unionByName(part)
+
+
+def draw(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> DataFrame:
+    """The samples: `plan_id`, `target_id`, `item`; exactly `drawn` items of each target of the report."""
+    return _drawn(candidates(items, targets, key, seed)[0])
+
+
+def report(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> DataFrame:
+    """One row for each target: the columns of `cells`, `drawn` (the items of the sample, counted) and `deficit` (what the sample lacks)."""
+    hashed, plan = candidates(items, targets, key, seed)
+    counts = _drawn(hashed).groupBy("plan_id", "target_id").agg(F.count("*").alias("drawn"))
+    out = plan.join(counts, ["plan_id", "target_id"], "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)).cast("long"))
+    return out.withColumn("deficit", F.greatest(F.col("needed") - F.col("drawn"), F.lit(0)))

@@ -58,10 +58,34 @@ def test_labels_and_mixtures(spark, model):
     fr = "Nous parlons ici de la seconde vie des vieux moulins et de leur histoire. "
     rows = [("1", en, "English"), ("2", en, "fr"), ("3", en + fr, "en"), ("4", en, "und"), ("5", "", None), ("6", None, "en"), ("7", "Ok. No.", "de"), ("8", en * 4000, "en_GB"), ("9", en, "mul")]
     df = spark.createDataFrame(rows, "k string, t string, language string")
-    got = {(r.k, r.lang_code) for r in langid.mislabelled(langid.detect(df, model, ["k"], "t", "language")).collect()}
+    got = {(r.k, r.lang_code) for r in langid.mislabelled(langid.segments(df, model, ["k"], "t", "language")).collect()}
     assert got == {("2", "en"), ("3", "en"), ("3", "fr"), ("4", "en"), ("9", "en")}
 
 
+def test_segments_have_places_and_confidence(spark, model):
+    en = "We talk about the history of the old mills and why it still matters to them. "
+    fr = "Nous parlons ici de la seconde vie des vieux moulins et de leur histoire. "
+    text = "Hm. " + en * 2 + fr + "Ah! " + en
+    got = langid.segments_of(model, text)
+    assert [(x[2], x[4]) for x in got] == [("en", 2), ("fr", 1), ("en", 1)] and all(x[3] >= langid.LEAST_CONFIDENCE for x in got)
+    assert got[0][0] == 0 and "Nous parlons" in text[got[1][0] : got[1][1]] and text[got[1][0] : got[1][1]].strip().endswith("Ah") and all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+    df = spark.createDataFrame([("1", text, "en"), ("2", None, "en"), ("3", "", None)], "k string, t string, language string")
+    rows = langid.segments(df, model, ["k"], "t", "language").collect()
+    assert [(r.k, r.segment, r.lang_code, r.n_languages) for r in sorted(rows, key=lambda r: r.segment)] == [("1", 0, "en", 2), ("1", 1, "fr", 2), ("1", 2, "en", 2)]
+
+
+def test_long_words_are_summed_whole():
+    import numpy as np
+
+    one = lambda *x: np.array(x)
+    m = langid.Model(["x", "y"], {"a": one(0.5, 0.1), "aa": one(0.25, 0.02)}, 2, one(1e-7, 1e-7))
+    for n in (30, 33, 70, 3000):
+        f = [one(0.0, 0.0), np.log(one(0.5, 0.1))]
+        for _ in range(n - 1):
+            f.append(np.logaddexp(f[-1] + np.log(one(0.5, 0.1)), f[-2] + np.log(one(0.25, 0.02))))
+        assert np.allclose(m.word("a" * n), f[n])
+
+
 def test_sampling_counts_are_exact(spark, sf):
     items, targets = table(spark, sf, "audio_urls"), table(spark, sf, "sample_targets")
     want = {(r.plan_id, r.target_id): r.drawn for r in sampling.report(items, targets).collect()}
