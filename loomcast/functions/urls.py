@@ -15,22 +15,27 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(part(url, "HOST"), F.lit("")))
 
 
+def _bare(url: Column, schemes: str) -> Column:
+    """Scheme, host (lower-cased), port and path of a URL whose scheme matches; '' otherwise. Brackets of IPv6 hosts stay."""
+    clean = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), r"[?#].*$", "")
+    pattern = rf"^(?i)({schemes})://(?:[^/]*@)?(\[[^\]/]*\]|[^/:\s]+)(:\d+)?(/.*)?$"
+    part_of = lambda i: F.coalesce(F.regexp_extract(clean, pattern, i), F.lit(""))
+    return F.when(clean.rlike(pattern), F.concat(F.lower(part_of(1)), F.lit("://"), F.lower(part_of(2)), part_of(3), part_of(4))).otherwise("")
+
+
 def redact_web(url: Column) -> Column:
-    """http(s) alone, without user, query and fragment; '' otherwise. Brackets of IPv6 hosts stay."""
-    clean = F.regexp_replace(F.regexp_replace(F.trim(url), r"[?#].*$", ""), r"^(?i)(https?)://[^/@]*@", "$1://")
-    return F.when(clean.rlike(r"^(?i)https?://[^/\s]+"), clean).otherwise("")
+    """http(s) alone, without user, query and fragment."""
+    return _bare(url, "https?")
 
 
 def redact_any(url: Column) -> Column:
-    """Any scheme with a host, without user, query and fragment; '' otherwise."""
-    clean = F.regexp_replace(F.regexp_replace(F.trim(url), r"[?#].*$", ""), r"^([A-Za-z][\w+.-]*)://[^/@]*@", "$1://")
-    return F.when(clean.rlike(r"^[A-Za-z][\w+.-]*://[^/\s]+"), clean).otherwise("")
+    """Any scheme with a host, without user, query and fragment."""
+    return _bare(url, r"[A-Za-z][\w+.-]*")
 
 
 def redact_secure(url: Column) -> Column:
     """https alone."""
-    clean = redact_any(url)
-    return F.when(clean.startswith("https://"), clean).otherwise("")
+    return _bare(url, "https")
 
 
 def redact_in_text(text: Column, limit: int = 2000) -> Column:
@@ -71,6 +76,12 @@ def diagnose(url: Column, suffixes: list[str]) -> Column:
     )
 
 
+def item_identifier(url: Column, first: list[str]) -> Column:
+    """The second segment of a path whose first one is one of these, NULL otherwise."""
+    segments = F.filter(F.split(F.coalesce(part(url, "PATH"), F.lit("")), "/"), lambda s: s != "")
+    return F.when(F.get(segments, 0).isin(*first), F.get(segments, 1))
+
+
 def path_identifier(url: Column, place: int) -> Column:
     """The n-th segment of a path (from 0), NULL if missing."""
     return F.nullif(F.get(F.filter(F.split(F.coalesce(part(url, "PATH"), F.lit("")), "/"), lambda s: s != ""), place), F.lit(""))

@@ -44,10 +44,15 @@ def test_first_per_group_prunes_before_the_shuffle(spark, sf):
 
 
 def test_cue_groups(spark):
-    cues = [("t", i, 3.0 * i, 3.0 * i + 3.0, f"c{i}") for i in range(8)] + [("t", 8, 100.0, 103.0, "late"), ("u", 0, 0.0, 1.0, "short")]
+    cues = [
+        ("t", 0, 0.0, 6.0, "a"), ("t", 1, 6.5, 8.0, "b"), ("t", 2, 8.0, 8.5, "x"), ("t", 3, 8.6, 8.6, "no length"), ("t", 4, 8.6, 9.9, ""), ("t", 5, 9.0, 30.0, "too long"), ("t", 6, 20.0, 23.0, "c"),
+        ("t", 7, 25.0, 26.0, "d\ne"), ("t", 8, 40.0, 41.0, "short"), ("u", 0, 0.0, 4.0, "f"), ("u", 1, 3.0, 9.5, "g"), ("v", 0, 0.0, 9.0, "h"),
+    ]
+    # One cue at the target stays open for the next; a group goes on to the cue that reaches it.
+    want = [("t", 0.0, 8.0, 2, "a\nb"), ("t", 20.0, 26.0, 2, "c\nd\ne"), ("u", 0.0, 4.0, 1, "f"), ("u", 3.0, 9.5, 1, "g"), ("v", 0.0, 9.0, 1, "h")]
     df = spark.createDataFrame(cues, "track_id string, pos int, cue_start double, cue_end double, text string")
-    got = [(r.track_id, r.group_start, r.group_end, r.n_cues) for r in sequences.group_cues(df, 3.0, 16.0, 11.5).orderBy("track_id", "group_start").collect()]
-    assert got == [("t", 0.0, 12.0, 4), ("t", 12.0, 24.0, 4), ("t", 100.0, 103.0, 1)]
+    got = [(r.track_id, r.group_start, r.group_end, r.n_cues, r.text) for r in sequences.group_cues(df, 2.0, 9.0, 5.0).orderBy("track_id", "group_start").collect()]
+    assert got == want
 
 
 def test_rolling_overlap(spark):
@@ -75,16 +80,32 @@ def test_rolling_captions_of_all_cues(spark, tmp_path):
 
 
 def test_frames_choose_the_best_supported_text(spark):
-    rows = [("m", i, i / 2.0, "Hello world" if i != 1 else "Hella world", 0.9, 0.1, 0.8, 0.5, 0.9) for i in range(4)] + [("m", 30, 15.0, "Other", 0.8, 0.1, 0.1, 0.2, 0.2), ("n", 0, 0.0, "x", 0.5, 0.0, 0.0, 1.0, 1.0)]
-    df = spark.createDataFrame(rows, "media_id string, frame_index int, ts double, text string, confidence double, x1 double, y1 double, x2 double, y2 double")
-    got = sequences.track_frames(df, fps=2.0).collect()
-    assert [(r.media_id, r.text, r.run_start, r.run_end, r.n_seen) for r in got] == [("m", "Hello world", 0.0, 2.0, 4)]
+    columns = "media_id string, frame_index int, ts double, text string, confidence double, x1 double, y1 double, x2 double, y2 double, media_s double"
+    rules = sequences.FrameRules(fps=2.0, static_seconds=5.0, static_coverage=0.5)
+    at = lambda m, i, text, x=0.1, sure=0.9, whole=10.0: (m, i, i / 2.0, text, sure, x, 0.8, x + 0.4, 0.9, whole)
+    rows = [at("m", i, "Hello world" if i != 1 else "Hella world") for i in range(4)] + [at("m", 19, "Other"), at("n", 0, "x")]
+    # Two runs of one text apart from each other stay two; a detection goes to the nearer one.
+    rows += [at("two", i, "same", x) for i in range(3) for x in (0.0, 0.55)]
+    # A station's sign over most of the medium is no caption; an end is cut at the medium's.
+    rows += [at("static", i, "LOGO") for i in range(20)] + [at("cut", i, "end", whole=0.8) for i in range(2)]
+    got = sequences.track_frames(spark.createDataFrame(rows, columns), rules, "media_s").collect()
+    assert sorted((r.media_id, r.text, r.run_start, r.run_end, r.n_seen, round(r.x1, 2)) for r in got) == [
+        ("cut", "end", 0.0, 0.8, 2, 0.1), ("m", "Hello world", 0.0, 2.0, 4, 0.1), ("two", "same", 0.0, 1.5, 3, 0.0), ("two", "same", 0.0, 1.5, 3, 0.55),
+    ]
+    gap = [at("g", i, "t") for i in (0, 1, 4, 5, 9, 10)]  # two frames missing are bridged, three aren't
+    assert sorted((r.run_start, r.n_seen) for r in sequences.track_frames(spark.createDataFrame(gap, columns), rules).collect()) == [(0.0, 4), (4.5, 2)]
 
 
 def test_vtt_and_caption_json(spark):
     vtt = "WEBVTT\n\nNOTE x\n\n1\n00:01.000 --> 00:02.500 align:start\n<i>Tom &amp; Ann</i>\nTom &amp; Ann\n\n00:03.000 --> 00:02.000\nbackwards\n\n01:00:00.000 --> 01:00:01.000\nlast\n"
     assert feeds.vtt_cues(vtt) == [{"start": 1.0, "end": 2.5, "text": "Tom & Ann"}, {"start": 3600.0, "end": 3601.0, "text": "last"}]
     assert feeds.vtt_cues(None) == []
+    text_of = lambda body, **k: [c["text"] for c in feeds.vtt_cues(body, **k)]
+    assert text_of("WEBVTT\n\n00:01.000 --> 00:02.000\nuse &lt;b&gt; for <b>bold</b>") == ["use <b> for bold"]
+    rolling = "WEBVTT\n\n00:01.000 --> 00:02.000\na\nb\n\n00:02.000 --> 00:03.000\na\nb\nc\n\n00:03.000 --> 00:04.000\nb\nc\n"
+    assert text_of(rolling) == ["a\nb", "a\nb\nc", "b\nc"] and text_of(rolling, rolling=True) == ["a\nb", "c"]
+    df = spark.createDataFrame([(rolling,), ("x\n00:61.000 --> 00:62.000\ny",), (None,)], "t string")
+    assert [r.c and len(r.c) for r in df.select(feeds.parse_rolling_vtt("t").alias("c")).collect()] == [2, None, []]
     with pytest.raises(ValueError):
         feeds.vtt_cues(vtt, most=1)
     good = json.dumps({"body": [{"from": 0, "to": 1, "content": "a"}, {"from": 0.5, "to": 2, "content": "b"}]})
@@ -109,7 +130,8 @@ def test_rss(spark):
 
 def test_url_functions(spark):
     u = F.col("x")
-    assert one(spark, urls.redact_web(u), x="https://me:pw@[::1]:8080/p?q=1#f") == "https://[::1]:8080/p"
+    assert one(spark, urls.redact_web(u), x="HTTPS://me:pw@[::1]:8080/P?q=1#f") == "https://[::1]:8080/P"
+    assert one(spark, urls.redact_web(u), x="http://Host.EXAMPLE/Path") == "http://host.example/Path"
     assert one(spark, urls.redact_web(u), x="ftp://h/p") == "" and one(spark, urls.redact_any(u), x="ftp://h/p?x") == "ftp://h/p" and one(spark, urls.redact_secure(u), x="http://h/p") == ""
     for x, want in [("https://youtu.be/abcdefghijk", "abcdefghijk"), ("https://www.youtube.com/watch?a=1&v=abcdefghijk", "abcdefghijk"), ("https://m.youtube.com/shorts/abcdefghijk", "abcdefghijk"), ("https://evil.com/watch?v=abcdefghijk", None), ("https://a@youtu.be/abcdefghijk", None)]:
         assert one(spark, urls.video_id_short(u), x=x) == want
@@ -122,8 +144,10 @@ def test_text_functions(spark):
     assert text.plain("<p>Hello&nbsp;<b>world</b></p><script>x()</script><ul><li>a<li>b</ul>") == "Hello world\n\na\nb"
     safe = text.safe('<a href="java\nscript:x" onclick="y" title="t">k</a><script>z</script><iframe src=q>r</iframe><img src="https://i/x.png">')
     assert safe == '<a title="t">k</a><img src="https://i/x.png">'
-    assert text.caption("<c>a</c>\na\n\n b  c ") == "a\nb c" and text.ocr("ｱ​Ａ\x00 b") == "アA b"
+    assert text.ocr("ｱ​Ａ\x00 b") == "アA b"
     c = F.col("x")
+    for x, want in [("<c>a</c>\na\n\n b  c ", "a\nb c"), ("use &lt;b&gt; for\tbold &amp; more\r\nx", "use <b> for bold & more\nx"), ("a\n&#97;\nb", "a\nb"), ("<i></i>", "")]:
+        assert one(spark, text.clean_caption(c), x=x) == want
     assert one(spark, text.unwrap_cdata(c), x=" <![CDATA[ a ]]> ") == "a"
     assert one(spark, text.safe_name(c), x="a/b: c?").startswith("a_b_c_") and one(spark, text.safe_name(c), x="").startswith("item_")
     assert tuple(one(spark, text.content_range(c), x="bytes 0-9/10")) == (0, 9, 10) and one(spark, text.content_range(c), x="bytes 5-3/10") is None
@@ -158,7 +182,7 @@ def test_scalar_functions(spark):
     for x, want in [("1:02:03.004", 3723.004), ("02:03,500", 123.5), ("00:61.000", None), ("junk", None)]:
         assert one(spark, scalars.vtt_seconds(c), x=x) == want
     assert one(spark, scalars.vtt_text(c), x=3723.0005) == "01:02:03.000" and one(spark, scalars.vtt_text(c), x=-1.0) == "00:00:00.000"
-    for x, want in [("1:xx:05", 65), ("1:02:03", 3723), ("90", 90), ("", 0), ("a:b", 0)]:
+    for x, want in [("1:xx:05", 65), ("xx:05", 0), ("1:02:03", 3723), (" 90 ", 90), ("1:2:3:4", 0), ("9x", 0), ("", 0), ("a:b", 0)]:
         assert one(spark, scalars.duration_seconds(c), x=x) == want
     boxes = F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)), F.array(F.lit(0.5), F.lit(0.0), F.lit(1.5), F.lit(1.0))
     assert abs(one(spark, scalars.box_iou(*boxes), x="") - 1 / 3) < 1e-12 and one(spark, scalars.box_distance(*boxes), x="") == 0.5
@@ -166,15 +190,45 @@ def test_scalar_functions(spark):
 
 
 def test_documents(spark):
-    d = {"page_url": "https://u:p@h/a?k=1", "n": [{"url": "javascript:x"}], "text": "https://h/?q=1"}
-    assert documents.redact_urls(d) == {"page_url": "https://h/a", "n": [{"url": ""}], "text": "https://h/?q=1"}
-    s = documents.sanitize({"cookie": "x", "body": [{"content": "https://h/?q=1", "note": "Bearer abc.def https://h/a?t=1"}]})
-    assert s == {"cookie": None, "body": [{"content": "https://h/?q=1", "note": "[redacted] https://h/a"}]} and documents.sanitize(s) == s
+    d = {"page_url": "https://u:p@H/a?k=1", "n": [{"url": "javascript:x"}], "urls": ["http://a/b?c", {"x": "http://a?b"}], "text": "https://h/?q=1"}
+    assert documents.redact_urls(json.dumps(d)) == {"page_url": "https://h/a", "n": [{"url": ""}], "urls": ["http://a/b", {"x": "http://a?b"}], "text": "https://h/?q=1"}
     assert one(spark, documents.as_object(F.col("x")), x="[1]") == "{}"
     streams = F.from_json(F.col("x"), "array<struct<height:int,codec:int,bandwidth:int>>")
     assert one(spark, documents.best_stream(streams, 480), x='[{"height":1080,"codec":7,"bandwidth":9},{"height":480,"codec":12,"bandwidth":9},{"height":480,"codec":7,"bandwidth":3},{"height":480,"codec":7,"bandwidth":3}]') == 2
 
 
+def test_captions_without_secrets(spark):
+    d = {
+        "cookie": "x", "jwt": "a", "Sign": "b", "API-Key": "c", "SESSDATA": "d", "session_count": 3, "a": {"content": "Bearer abc.def"}, "t": "token=abc, cookie: x; and //host/a?sig=1 https://H.example:80/p?q#f http://x/y",
+        "body": [{"content": "https://h/?q=1 token=abc", "note": "Bearer abc.def https://h/a?t=1"}, {"deep": {"content": "password: 'a b' c"}}],
+    }
+    clean, wrong = documents.sanitize(d)
+    assert wrong == [] and documents.sanitize(clean) == (clean, [])
+    assert all(clean[k] is None for k in ("cookie", "jwt", "Sign", "API-Key", "SESSDATA")) and clean["session_count"] == 3 and clean["a"]["content"] == "Bearer [redacted]"
+    assert clean["t"] == "token:[redacted], cookie:[redacted]; and https://host/a https://h.example:80/p [redacted-transport-url]"
+    assert clean["body"][0] == {"content": "https://h/?q=1 token=abc", "note": "Bearer [redacted] https://h/a"} and clean["body"][1]["deep"]["content"] == "password:[redacted] c"
+    deep = x = {}
+    for _ in range(31):
+        x["a"] = x = {}
+    x["v"] = 1
+    assert documents.sanitize(deep)[1] == []
+    x["v"] = {"w": 1}
+    assert documents.sanitize(deep) == (None, ["depth"]) and documents.sanitize([1]) == (None, ["no_object"]) and documents.sanitize({"token=a": 1, "token=b": 2}) == (None, ["names_collide"])
+    got = spark.createDataFrame([("{",), (None,), ('{"a": "//h/x?y"}',)], "t string").select(documents.sanitize_json("t").alias("r")).select("r.*").collect()
+    assert [(r.document, r.violations) for r in got] == [(None, ["unreadable"]), (None, ["no_object"]), ('{"a": "https://h/x"}', [])]
+
+
+def test_provenance_of_tracks(spark):
+    cases = {
+        '{"type":1}': ("automatic", "bilibili_type_ai"), '{"type":0,"lan":"ai-zh","author":{"mid":5}}': ("unknown", "bilibili_conflicting_evidence"), '{"type":0,"author":{"mid":5}}': ("manual", "bilibili_cc_with_author"),
+        '{"lan":"ai-en"}': ("automatic", "bilibili_auto_label_fallback"), '{"type":"1"}': ("unknown", "bilibili_insufficient_evidence"), '{"type":true,"lan":"ai-zh"}': ("unknown", "bilibili_insufficient_evidence"), "[1]": None, "x": None,
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", documents.provenance(F.col("t")).alias("p")).collect()
+    assert {r.t: r.p and (r.p.kind, r.p.selected_by_rule) for r in rows} == cases
+    for x, want in [('{"need_login_subtitle":true,"subtitle":{"subtitles":[]}}', "auth_required"), ('{"need_login_subtitle":false,"subtitle":{"subtitles":[]}}', "not_provided_publicly"), ('{"subtitle":{"subtitles":[{}]}}', "provided"), ('{"subtitle":{"subtitles":{}}}', "unknown"), ("x", "unknown")]:
+        assert one(spark, documents.inventory_status(F.col("x")), x=x) == want
+
+
 def test_manifests(spark, tmp_path):
     items = [{"bvid": "BV1234567890", "parts": [2, 1], "max_duration_seconds": 60.0}, {"bvid": "bad", "parts": []}, {"bvid": "BV1234567890", "parts": [1, 2], "max_duration_seconds": 60.0}]
     (tmp_path / "m.json").write_text(json.dumps({"items": items}))
@@ -194,7 +248,18 @@ def test_closure_of_files_and_versions(spark, tmp_path):
     after = feeds.read_closure(spark, str(tmp_path / "b")).first()
     assert before.n_files == 1 and before.fingerprint != after.fingerprint
     v = sinks.Versions(spark, str(tmp_path / "t"))
+    assert v.current() == 0
     assert v.write(spark.range(3)) == 1 and v.write(v.read().where("id > 0")) == 2 and v.read().count() == 2
+    # A write that broke before its note counts for nothing, and its number is not used again.
+    spark.range(99).write.parquet(str(tmp_path / "t" / "rows-3"))
+    (tmp_path / "t" / "note-3").mkdir()
+    assert v.current() == 2 and v.read().count() == 2
+    assert v.write(spark.range(5)) == 4 and v.current() == 4 and v.roll_back(1) == 5 and v.read().count() == 3
+    version, bad = sinks.promote(spark.range(4), F.when(F.col("id") > 1, F.array(F.lit("big"))).otherwise(F.array().cast("array<string>")), v)
+    assert version == 6 and v.read().count() == 5 and sorted(r.id for r in bad.collect()) == [2, 3]
+    assert sinks.snapshot(spark.range(7), str(tmp_path / "copy")) == {"n_rows": 7}
+    names = spark.createDataFrame([("a/x.mp3",), ("a/x.ogg",), ("b/y.mp3",)], "path string")
+    assert sorted(r.target for r in sinks.target_names(names).collect()) == ["a/x_mp3.wav", "a/x_ogg.wav", "b/y.wav"]
     assert json.loads(sinks.report(spark.range(3).agg(F.count("*").alias("n")))) == {"n": 3}
 
 
