@@ -97,11 +97,21 @@ w AS (SELECT t.plan_id, t.target_id, n.items, CAST(t.sample_bp AS BIGINT) * n.it
 SELECT {columns} FROM w JOIN o USING (plan_id, target_id) {where}
 """
 
+# The windows of the items and of the documents written out and joined: the brute-force form of the search.
+_P9 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(regexp_replace(lower(regexp_replace(text, '<[^>]*>', ' ', 'g')), '([\x{3040}-\x{30FF}\x{3400}-\x{9FFF}])', ' \1 ', 'g'), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, CASE WHEN lang IN ('zh', 'ja') THEN 30 ELSE 12 END AS n, regexp_extract_all(regexp_replace(lower(item_text), '([\x{3040}-\x{30FF}\x{3400}-\x{9FFF}])', ' \1 ', 'g'), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE item_text IS NOT NULL),
+q AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM i)),
+t AS (SELECT DISTINCT doc_id, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM (SELECT d.*, unnest([12, 30]) AS n FROM d)))
+SELECT DISTINCT doc_id, item_id FROM t JOIN q USING (n, g)
+"""
+
 QUERIES = {
     f.__name__: f
     for f in (p2_found, p2_report, p2_sample, p3_found, p3_restored, p4_found, p4_runs, p5_found, p5_classes, p6_found, p6_languages, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)
 }
 SQL = {
+    "p9_found": _P9,
     "p2_found": _P2.format(columns="plan_id, target_id", where="WHERE observed < needed"),
     "p2_report": _P2.format(columns="plan_id, target_id, items, sample_size, needed, observed, least(needed, observed) AS drawn, needed - least(needed, observed) AS deficit", where=""),
 }
