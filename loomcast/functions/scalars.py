@@ -53,7 +53,7 @@ def compact_date(text: Column) -> Column:
 
 def epoch_iso(seconds: Column) -> Column:
     """Seconds since 1970 as ISO text in UTC; '' for none, and for zero."""
-    at = F.date_format(F.convert_timezone(F.lit("UTC"), F.timestamp_seconds(seconds).cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss")
+    at = F.date_format(F.convert_timezone(None, F.lit("UTC"), F.timestamp_seconds(seconds).cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss")
     return F.when(F.coalesce(seconds, F.lit(0)) != 0, F.concat(at, F.lit("+00:00"))).otherwise("")
 
 

@@ -515,7 +515,10 @@ def latest_by_key(spark, d):
     return identity.latest(table(spark, d, "bilibili_sources").where("bvid is not null").select("bvid", "batch_id", F.col("batch_id").alias("o")), ["bvid"], "o").select("bvid", "batch_id")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT row_number() OVER (ORDER BY id) AS n, id, nullif(coalesce(url, ''), '') AS a, nullif(coalesce(source_id, ''), '') AS b FROM audio_urls),
+r AS (SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS id, CAST([] AS VARCHAR[]) AS sa, CAST([] AS VARCHAR[]) AS sb, false AS ok UNION ALL
+SELECT n, id, CASE WHEN ok AND a IS NOT NULL THEN list_append(sa, a) ELSE sa END, CASE WHEN ok AND b IS NOT NULL THEN list_append(sb, b) ELSE sb END, ok FROM (SELECT o.n, o.id, o.a, o.b, r.sa, r.sb, NOT coalesce(list_contains(r.sa, o.a), false) AND NOT coalesce(list_contains(r.sb, o.b), false) AS ok FROM r JOIN o ON o.n = r.n + 1))
+SELECT id FROM r WHERE ok""")
 def sequential_accept(spark, d):
     return identity.sequential_accept(_queue(spark, d), "id", "url", "source_id")
 
@@ -549,7 +552,10 @@ def rolling_captions(spark, d):
     return sequences.remove_rolling(rows, automatic=F.col("track_kind") == "automatic").select("track_id", "pos", "kept_text")
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT track_id AS t, cue_start AS s, cue_end AS e, text AS x, row_number() OVER (PARTITION BY track_id ORDER BY cue_start, cue_end, text, pos) AS n FROM (SELECT DISTINCT track_id, pos, cue_start, cue_end, text FROM cues) WHERE track_id IS NOT NULL AND coalesce(text, '') <> '' AND cue_end > cue_start AND cue_end - cue_start <= 20.0),
+r AS (SELECT t, n, x, s AS b, e AS l, true AS open, 1 AS g FROM c WHERE n = 1 UNION ALL
+SELECT t, n, x, CASE WHEN fresh THEN s ELSE b END, CASE WHEN fresh THEN e ELSE greatest(l, e) END, fresh OR NOT greatest(l, e) - b >= 11.5, g + fresh::INT FROM (SELECT c.t, c.n, c.x, c.s, c.e, r.b, r.l, r.g, NOT r.open OR c.s - r.l > 5.0 OR greatest(r.l, c.e) - r.b > 20.0 AS fresh FROM r JOIN c ON c.t = r.t AND c.n = r.n + 1))
+SELECT t AS track_id, CAST(g AS BIGINT) AS group_no, min(b) AS group_start, max(l) AS group_end, count(*) AS n_cues, string_agg(x, chr(10) ORDER BY n) AS text FROM r GROUP BY 1, 2 HAVING max(l) - min(b) BETWEEN 3.0 AND 20.0""")
 def cue_groups(spark, d):
     rows = table(spark, d, "cues").select("track_id", "pos", "cue_start", "cue_end", "text").distinct()
     return sequences.group_cues(rows, 3.0, 20.0, 11.5, 5.0)

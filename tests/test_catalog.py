@@ -10,7 +10,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from loomcast.plans import catalog, problems
+from loomcast.plans import catalog, lifecycle, problems
 
 
 def plain(v):
@@ -33,20 +33,66 @@ def con(sf):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(catalog.SQL))
+@pytest.mark.parametrize("name", sorted({**catalog.SQL, **lifecycle.SQL}))
 def test_agrees_with_sql(spark, sf, con, name):
-    df = catalog.QUERIES[name](spark, sf)
-    result = con.execute(catalog.SQL[name])
+    df = {**catalog.QUERIES, **lifecycle.QUERIES}[name](spark, sf)
+    result = con.execute({**catalog.SQL, **lifecycle.SQL}[name])
     names = [x[0] for x in result.description]
     assert sorted(names) == sorted(df.columns)
     want = Counter(tuple(plain(dict(zip(names, r))[c]) for c in sorted(names)) for r in result.fetchall())
     assert Counter(tuple(plain(r[c]) for c in sorted(names)) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)) + sorted(problems.QUERIES))
-def test_runs(spark, sf, name):
-    df = {**catalog.QUERIES, **problems.QUERIES}[name](spark, sf)
-    assert df.columns and df.count() >= 0
+OTHERS = {n: q for m in (catalog, lifecycle, problems) for n, q in m.QUERIES.items() if n not in m.SQL}
+
+
+@pytest.mark.parametrize("name", sorted(OTHERS))
+def test_has_rows(spark, sf, name):
+    df = OTHERS[name](spark, sf)
+    assert len(df.columns) > 1 and df.count() > 0
+
+
+def test_values_against_plain_python(spark, sf, con):
+    import email.utils
+    import html as H
+    import json
+    import unicodedata
+
+    def rows(sql):
+        return con.execute(sql).fetchall()
+
+    def same(name, want, *columns):
+        got = Counter(tuple(r[c] for c in columns) for r in OTHERS[name](spark, sf).collect())
+        assert got == Counter(want), name
+
+    def iso(t):
+        try:
+            return email.utils.parsedate_to_datetime(t).isoformat()
+        except (TypeError, ValueError, IndexError):
+            return ""
+
+    same("rfc2822_dates", [(i, iso(t)) for i, t in rows("select id, published_at from audio_urls")], "id", "iso")
+
+    def caption(t):
+        lines = [re.sub(r"[ \t\f\v]+", " ", H.unescape(re.sub("<[^>]+>", "", x))).strip() for x in (t or "").replace("\r", "").split("\n")]
+        lines = [x for x in lines if x]
+        return "\n".join(x for i, x in enumerate(lines) if not i or lines[i - 1] != x)
+
+    cues = rows("select distinct track_id, pos, text from cues")
+    same("caption_clean", [(t, p, caption(x)) for t, p, x in cues], "track_id", "pos", "clean")
+
+    def recognised(t):
+        kept = "".join(c for c in unicodedata.normalize("NFKC", t or "") if c.isspace() or not unicodedata.category(c).startswith("C"))
+        return " ".join(kept.split())[:500]
+
+    same("ocr_clean", [(t, p, recognised(x)) for t, p, x in cues], "track_id", "pos", "clean")
+    for r in OTHERS["sidecar_documents"](spark, sf).collect():
+        assert json.loads(r.document)["id"] == r.id
+    for r in OTHERS["json_sanitize"](spark, sf).collect():
+        assert (r.document is None) == bool(r.violations) and (r.document is None or "?" not in "".join(re.findall(r"https?://[^\s\"]*", r.document)))
+    back = {(r.track_id, round(r.start, 3), round(r.end, 3)) for r in OTHERS["vtt_round_trip"](spark, sf).collect()}
+    kept = {(t, round(max(s, 0), 3), round(e, 3)) for t, s, e, x in rows("select distinct track_id, cue_start, cue_end, text from cues") if x and caption(x) and round(e, 3) > round(max(s, 0), 3)}
+    assert len(back ^ kept) <= 0.02 * len(kept)  # texts that hold line ends of their own part cues
 
 
 def test_no_shortcuts_in_queries():
