@@ -24,12 +24,32 @@ def test_bpe_equals_the_library(spark):
     back = {r.doc_id: r.decoded for r in bpe.decode(out).collect()}
     assert back == {i: x or "" for i, x, _ in rows}
     assert bpe.encode(df.where("false")).count() == 0
+    # With few frequent parts, or none, the others take the other way, and nothing else changes.
+    for hot in (0, 3, 40):
+        assert {r.doc_id: r.ids for r in bpe.encode(df, hot=hot).collect()} == got
+    assert bpe.encode(df).count() == len(rows) + 3
+
+
+def test_words_are_those_of_the_pattern():
+    regex = pytest.importorskip("regex")
+    blanks = "".join(map(chr, bpe.BLANKS))
+    pattern = regex.compile(rf"'(?:{'|'.join(bpe.CONTRACTIONS)})| ?\p{{L}}+| ?\p{{N}}+| ?[^{blanks}\p{{L}}\p{{N}}]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(["'", " ", "  ", "\n", "s", "re", "ll", "t", "a", "9", "!", "é", "字", "\u3000", "'s", " '", "́"], k=rng.randrange(0, 25))) for _ in range(3000)] + TEXTS[:-1]
+    import numpy as np
+
+    whole = "".join(texts)
+    first = np.zeros(len(whole), dtype=bool)
+    at = np.cumsum([0, *map(len, texts)])[:-1]
+    first[[a for a, t in zip(at, texts) if t]] = True
+    starts = set(np.flatnonzero(bpe.word_starts(np.frombuffer(whole.encode("utf-32-le"), dtype="<u4"), first)).tolist())
+    assert starts == {a + m.start() for a, t in zip(at.tolist(), texts) for m in pattern.finditer(t)}
 
 
 def test_heap_equals_fold(spark):
     words = [x for x in TEXTS if x and len(x) < 60]
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    for r in df.select("w", bpe.encode_bytes(bpe._bytes(F.col("w"))).alias("i")).collect():
+    for r in df.select("w", bpe.encode_bytes(F.decode(F.encode("w", "UTF-8"), "ISO-8859-1")).alias("i")).collect():
         assert r.i == bpe.merge_bytes(r.w.encode())
 
 
