@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ BUCKETS = 8191  # a prime, so that pairs spread whatever their second id
 LONG_WORD = 400
 NO_MERGE = 1 << 30
 _KEYED = 1 << 33  # above every id: keys and ids share the buckets
-#: Parts that every task holds, and the most bytes of one: some ten megabytes at any size of the corpus.
-HOT, HOT_BYTES = 1 << 18, 32
+#: Parts that every task holds, and the most bytes of one: a few megabytes at any size of the corpus.
+HOT, HOT_BYTES = 1 << 16, 32
 #: Characters that are split together: bounds a task's memory; a longer text is split alone, and whole.
 CHARACTERS = 1 << 21
 #: Bytes of a part up to which its hash is made over all parts at once.
@@ -177,7 +178,7 @@ def _batches(texts: list[str]) -> Iterator[slice]:
 class _Hot:
     """The frequent parts: a table from hashes to ids. A part is found if hash, length and all its bytes are the same."""
 
-    SLOTS = 22
+    SLOTS = 20
 
     def __init__(self, parts: list[bytes], ids: list[np.ndarray]):
         self.bytes = np.frombuffer(b"".join(parts) or b"\0", dtype=np.uint8)
@@ -342,8 +343,8 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = V
     frequent = spark.sparkContext.broadcast(_Hot([b.encode("latin-1") for b in rows["b"]], list(rows["i"])))
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The ids of the frequent parts (two bytes each: no vocabulary here has more than 2^16), and where between them which other parts belong."""
-        table = frequent.value
+        """The ids of the frequent parts (two bytes each, as no vocabulary here has more than 2^16, compressed), and where between them which other parts belong."""
+        table, pack = frequent.value, zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             texts = b["t"].tolist()
             for s in _batches(texts):
@@ -362,13 +363,14 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = V
                 edge = np.searchsorted(owner[other], np.arange(n_docs + 1))
                 coded = ids.tobytes()
                 yield pd.DataFrame({
-                    "k": b["k"].to_numpy()[s], "h": b["h"].to_numpy()[s], "ids": [coded[2 * x : 2 * (x + y)] for x, y in zip(begin.tolist(), count.tolist())],
+                    "k": b["k"].to_numpy()[s], "h": b["h"].to_numpy()[s], "ids": [pack(coded[2 * x : 2 * (x + y)]) for x, y in zip(begin.tolist(), count.tolist())],
                     "places": [place[x:y] for x, y in zip(edge[:-1], edge[1:])], "rest": [rest[x:y] for x, y in zip(edge[:-1], edge[1:])],
                 })
 
     @F.pandas_udf("array<int>")
     def numbers(coded: pd.Series) -> pd.Series:
-        return coded.map(lambda c: np.frombuffer(c, dtype="<u2").astype(np.int32))
+        unpack = zstandard.ZstdDecompressor().decompress
+        return coded.map(lambda c: np.frombuffer(unpack(c), dtype="<u2").astype(np.int32))
 
     if len(vocabulary(path)[2]) > 1 << 16:
         raise ValueError("ids of more than two bytes")
