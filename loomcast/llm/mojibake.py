@@ -11,6 +11,7 @@ can't be restored (`restored` is NULL); a span is left alone if what it decodes
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,8 +25,8 @@ SINGLE = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1254", "cp437", "cp850", "
 DOUBLE = ("gbk", "big5", "cp932", "euc_jp", "cp949")
 #: Multibyte encodings whose bytes may have been read in a single-byte page, and single-byte Cyrillic ones.
 TRUE_DOUBLE = ("gbk", "cp932", "euc_jp", "big5", "cp949")
+TRUE_CHINESE = ("gbk", "big5")
 TRUE_CYRILLIC = ("cp1251", "koi8-r", "cp866")
-ROUNDS = 5
 
 
 @lru_cache(None)
@@ -224,7 +225,9 @@ def _from_legacy(text: str) -> str | None:
                             continue
                         if sum(_cjk(c) for c in d) >= 2 and (share := _share(d)) >= 0.5:
                             parts.append((m.start(), m.end(), d))
-                            good += share * sum(map(_wide, d))
+                            # Kana are in the same places of the Chinese and the Japanese tables, the characters beside them aren't.
+                            kana = true in TRUE_CHINESE and any("\u3041" <= c <= "\u30fa" for c in d)
+                            good += share * sum(map(_wide, d)) * (0.4 if kana else 1)
                         break
                 if parts and (best is None or good > best[0]):
                     best = (good, parts)
@@ -261,27 +264,53 @@ _ILL = re.compile(
     "(?<=[a-zà-öø-ÿ])[À-ÖØ-ÞŠŽŒŸ]|(?<=[^\\W\\d_])[^\\w\\s’‘'ʼ.,:;!?/+&–—\\-|*“”«»()\\[\\]™®©·•…=_~@#%](?=[^\\W\\d_])"
     "|(?<=[a-z])[‚ƒ„†‡‰‹¢£¤¥¦§¨¬¯±¸¼½¾¿¡](?!\\w)|(?<!\\w)[ñÑ](?!\\w)|(?<!\\w)[‡∫√∑∏Ω](?!\\w)|\\b[dl]í(?=[hÀ-ÖØ-Þ])|(?<!\\w)ì(?=\\w)|(?<!\\w)´(?=\\w)|n∫|(?<!\\w)‡(?!\\w)|(?<=[a-z])[ˆ˚˜](?=[a-z])|(?<=[a-km-z])·(?=[a-z])|(?<=l)·(?=[a-km-z])|(?<=[a-z])[ˆ˚](?![a-z])"
 )
-_POSSESSIVE = re.compile(r"\b[A-Z]\w+ís (?=\w)")
-_ENGLISH = re.compile(r"\b(the|of|on|with|and|workshop|notes|in)\b", re.I)
+#: A name and an apostrophe read as í: only where the rest is English, as other languages have words that end so.
+_POSSESSIVE = re.compile(r"\b[A-Z]\w+ís\b")
+#: Most labelled samples that the letter statistics are taken from.
+MAX_SAMPLES = 20_000
+GRAM = 3
+
+
+def letter_model(samples: list[tuple[str, str]]) -> dict[str, dict[str, float]]:
+    """Per language of the Latin script the log probabilities of its sequences of three letters (under '' that of an unseen one), from labelled texts (language, text)."""
+    counts: dict[str, Counter] = {}
+    for lang, text in samples:
+        if sum(c.isascii() for c in text) > 0.7 * len(text):
+            counts.setdefault(lang, Counter()).update(_letters(text))
+    seen = len({g for c in counts.values() for g in c}) + 1
+    return {lang: {g: math.log((n + 0.1) / (c.total() + 0.1 * seen)) for g, n in c.items()} | {"": math.log(0.1 / (c.total() + 0.1 * seen))} for lang, c in counts.items()}
+
+
+def _letters(text: str) -> list[str]:
+    t = " " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " "
+    return [t[i : i + GRAM] for i in range(len(t) - GRAM + 1)]
+
+
+def _is_english(text: str, model: dict[str, dict[str, float]]) -> bool:
+    """Whether English explains a text's letters better than every other language of the samples."""
+    scores = {lang: sum(p.get(g, p[""]) for g in _letters(text)) for lang, p in model.items()}
+    return bool(scores) and max(scores, key=scores.get) == "en"
+
+
 #: Western pages taken for one another: (seen, true).
 WESTERN = (("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp850"), ("cp1252", "cp437"), ("cp850", "cp1252"), ("cp437", "cp1252"))
 
 
-def _ill(text: str) -> int:
-    possessive = sum(not c.isascii() for c in text) == 1 and _POSSESSIVE.search(text) and _ENGLISH.search(text)
+def _ill(text: str, model: dict[str, dict[str, float]]) -> int:
+    possessive = sum(not c.isascii() for c in text) == 1 and _POSSESSIVE.search(text) and _is_english(text.replace("í", " "), model)
     return len(_ILL.findall(text)) + bool(possessive)
 
 
-def _from_western(text: str) -> str | None:
+def _from_western(text: str, model: dict[str, dict[str, float]]) -> str | None:
     """One Western code page that was read as another: the words become well formed, or None."""
-    if any(map(_eastern, text)) and not _ILL.search(text) or not (before := _ill(text)):
+    if any(map(_eastern, text)) and not _ILL.search(text) or not (before := _ill(text, model)):
         return None
     best = None
     for seen, true in WESTERN:
         table, back = bytes_of(seen), chars_of(true)
         if all(c.isascii() or c in table or _wide(c) for c in text):
             d = "".join(back[table[c]] if c in table else c for c in text)
-            if d != text and not _ill(d) and all(_kind(c) in "alpw" for c in d) and not re.search("[¤¦¨¬¯±²³¸¹¼½¾÷×]", d) and (best is None or _oddness(d) < _oddness(best)):
+            if d != text and not _ill(d, model) and all(_kind(c) in "alpw" for c in d) and not re.search("[¤¦¨¬¯±²³¸¹¼½¾÷×]", d) and (best is None or _oddness(d) < _oddness(best)):
                 best = d
     return best if before else None
 
@@ -369,12 +398,12 @@ _LOST = re.compile("[�-\x80-\x84\x86-\x9f]")
 _EASTERN = re.compile("[㐀-鿿豈-﫿｡-ﾟ가-힣-]{2}")
 
 
-def repair(text: str | None) -> tuple[bool, str | None, str]:
-    """(damaged, restored text or None, the steps taken)."""
+def repair(text: str | None, model: dict[str, dict[str, float]] | None = None) -> tuple[bool, str | None, str]:
+    """(damaged, restored text or None, the steps taken), however often the text was damaged: a step must make it less odd and give a text that wasn't there before, or there are no more."""
     if not text or text.isascii():
         return False, None, ""
-    now, steps = text, []
-    for _ in range(ROUNDS):
+    now, steps, seen = text, [], {text}
+    while True:
         tried = [(d, f"utf-8 as {c}") for c in SINGLE if (d := _from_single(c, now)) is not None]
         if (d := _from_legacy(now)) is not None:
             tried.append((d, "legacy as western"))
@@ -383,18 +412,22 @@ def repair(text: str | None) -> tuple[bool, str | None, str]:
         if _EASTERN.search(now) and (_share(now) < 0.8 or _PRIVATE.search(now) or "\ufffd" in now) and (d := _from_double(now)) is not None:
             tried.append((d, "east asian as another"))
         if not tried and _EASTERN.search(now) and (d := _whole_utf8(now)) is not None:
+            if d in seen:
+                break
             now, steps = d, [*steps, "utf-8 as east asian"]
+            seen.add(now)
             continue
         if not tried:
-            if (d := _from_western(now)) is not None:
+            if (d := _from_western(now, model or {})) is not None:
                 now, steps = d, [*steps, "western as another"]
             break
         # UTF-8 that accounts for nearly every unusual character outweighs what the runs would be in a legacy encoding.
         whole = [x for x in tried if x[1].startswith("utf-8") and _covered(x[1].split(" as ")[1], now) >= 0.9]
         best = min(whole or tried, key=lambda x: _oddness(x[0]))
-        if not _less_odd(now, best[0]):
+        if best[0] in seen or not _less_odd(now, best[0]):
             break
         now, steps = best[0], [*steps, best[1]]
+        seen.add(now)
     lost = bool(_LOST.search(now))
     return bool(steps) or lost or bool(_LOST.search(text)), None if lost or not steps else now, ", ".join(steps)
 
@@ -414,9 +447,19 @@ def _oddness(text: str) -> float:
     return cost
 
 
-def find_damaged(df: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
+def letters_of(samples: DataFrame, lang: str = "lang", text: str = "text") -> dict[str, dict[str, float]]:
+    """The letter statistics of a small table of labelled texts."""
+    rows = samples.select(lang, text).where(f"{lang} is not null and {text} is not null").limit(MAX_SAMPLES + 1).collect()
+    if len(rows) > MAX_SAMPLES:
+        raise ValueError(f"more than {MAX_SAMPLES} labelled samples")
+    return letter_model([tuple(r) for r in rows])
+
+
+def find_damaged(df: DataFrame, columns: list[str], key: str = "id", letters: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """`key`, `field_name`, `raw_text`, `restored_text`, `steps`: one row for each damaged value of the columns.
 
+    `letters` (of `letters_of`) tells English names with a damaged apostrophe from words of other languages; without it they are left alone.
+
     Texts of ASCII alone are dropped in the JVM; the rest is worked on where it is read, without a shuffle of its own.
     """
     from ..session import balanced
@@ -427,7 +470,7 @@ def find_damaged(df: DataFrame, columns: list[str], key: str = "id") -> DataFram
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, f, t, *r[1:]) for k, f, t in zip(b["k"], b["field_name"], b["raw_text"]) if (r := repair(t))[0]]
+            rows = [(k, f, t, *r[1:]) for k, f, t in zip(b["k"], b["field_name"], b["raw_text"]) if (r := repair(t, letters))[0]]
             out = pd.DataFrame(rows, columns=["k", "field_name", "raw_text", "restored_text", "steps"])
             yield out.astype({"k": b["k"].dtype})
 

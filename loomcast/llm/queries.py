@@ -23,11 +23,11 @@ def p2_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return mojibake.find_damaged(table(spark, d, "audio_urls"), ["title", "author"]).select("id", "field_name")
+    return p3_restored(spark, d).select("id", "field_name")
 
 
 def p3_restored(spark: SparkSession, d: str) -> DataFrame:
-    return mojibake.find_damaged(table(spark, d, "audio_urls"), ["title", "author"])
+    return mojibake.find_damaged(table(spark, d, "audio_urls"), ["title", "author"], letters=mojibake.letters_of(table(spark, d, "lang_samples")))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
