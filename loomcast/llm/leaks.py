@@ -27,8 +27,8 @@ CHARACTER_LANGUAGES = ("zh", "ja")
 #: Words of a shard: bounds a task's memory (some 100 bytes a word), not the corpus.
 SHARD_WORDS = 1_000_000
 SAMPLE_RATE = 8
-#: Most evaluation items held by each task. More are an error, not a silent cut.
-MAX_ITEMS = 200_000
+#: Most evaluation items, and most of their characters, that a task holds at once; more are searched in blocks, each over all documents.
+MAX_ITEMS, MAX_CHARACTERS = 100_000, 64 << 20
 
 _WORD = re.compile("[぀-ヿ㐀-鿿]|[^\\W_぀-ヿ㐀-鿿]+")
 _MARKUP = re.compile("<[^>]*>")
@@ -192,17 +192,26 @@ def search_shard(keys: list, texts: list[str | None], what: Phrases) -> list[tup
     return out
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = N_WORDS, n_characters: int = N_CHARACTERS, shard_words: int = SHARD_WORDS) -> DataFrame:
+def find_leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = N_WORDS, n_characters: int = N_CHARACTERS, shard_words: int = SHARD_WORDS, most_items: int = MAX_ITEMS) -> DataFrame:
     """`key`, `item_id`, `spans` (word positions, merged): the documents that hold a window of an item's words.
 
-    The items are a fixed test set: their number is checked, then they travel with the task. Each partition of documents is indexed and
+    The items are a small test set, counted first: as many as a task may hold travel with it, more go in blocks of whole items, and the results are put
+    together. Each partition of documents is indexed and
     searched where it is read; nothing of the corpus is shuffled but the spreading of a small input, or sent to the driver.
     """
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("item_text")), F.lit(0)).alias("c")).first()
+    blocks = max(1, -(-size.n // most_items), -(-size.c // MAX_CHARACTERS))
+    out = None
+    for i in range(blocks):
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i)
+        found = _find_block(documents, own.select("item_id", "lang", "item_text").collect(), key, text, n_words, n_characters, shard_words)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _find_block(documents: DataFrame, rows: list, key: str, text: str, n_words: int, n_characters: int, shard_words: int) -> DataFrame:
     from ..session import balanced
 
-    rows = items.select("item_id", "lang", "item_text").limit(MAX_ITEMS + 1).collect()
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} evaluation items: search them in blocks")
     shared = documents.sparkSession.sparkContext.broadcast([(r.item_id, r.lang, r.item_text) for r in rows])
     kind = documents.schema[key].dataType.simpleString()
 

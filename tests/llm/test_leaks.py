@@ -48,4 +48,6 @@ def test_table(spark):
     got = L.find_leaks(d, i, shard_words=40)
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(k, j) for k in (1, 4, 6) for j in (10, 11)]
     assert got.where("doc_id = 1").first().spans[0].asDict() == {"first": 1, "last": 20}
+    blocks = L.find_leaks(d, i, shard_words=40, most_items=1)
+    assert sorted((r.doc_id, r.item_id) for r in blocks.collect()) == [(k, j) for k in (1, 4, 6) for j in (10, 11)]
     assert L.find_leaks(d.where("false"), i).count() == 0 and L.find_leaks(d, i.where("false")).count() == 0
