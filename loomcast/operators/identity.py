@@ -38,7 +38,7 @@ def mark_content_duplicates(df: DataFrame, content: str, order: str) -> DataFram
     return out.withColumn("kept_path", F.when(F.col("_first").isNotNull() & (F.col(order) > F.col("_first")), F.concat(F.lit("dup:"), F.col(content))).otherwise(F.col("local_path"))).drop("_first")
 
 
-def sequential_accept(df: DataFrame, order: str, first: str, second: str, rounds: int = 60) -> DataFrame:
+def sequential_accept(df: DataFrame, order: str, first: str, second: str) -> DataFrame:
     """Rows accepted in order of arrival: a row is a duplicate if an accepted earlier row has its first or second identity.
 
     Identities of rejected rows count for nothing, so this isn't two deduplications. It is solved by rounds over the whole table: a row
@@ -50,7 +50,7 @@ def sequential_accept(df: DataFrame, order: str, first: str, second: str, rounds
 
     rows = df.select(F.col(order).alias("o"), F.nullif(F.coalesce(F.col(first).cast("string"), F.lit("")), F.lit("")).alias("a"), F.nullif(F.coalesce(F.col(second).cast("string"), F.lit("")), F.lit("")).alias("b"))
     accepted, open_rows = None, checkpointed(rows)
-    for _ in range(rounds):
+    while True:  # each round settles the first open row at least
         fa = open_rows.where("a is not null").groupBy("a").agg(F.min("o").alias("fa"))
         fb = open_rows.where("b is not null").groupBy("b").agg(F.min("o").alias("fb"))
         seen = open_rows.join(fa, "a", "left").join(fb, "b", "left").select("o", "a", "b", "fa", "fb")
@@ -61,7 +61,6 @@ def sequential_accept(df: DataFrame, order: str, first: str, second: str, rounds
         open_rows = checkpointed(left.select("o", "a", "b"))
         if open_rows.isEmpty():
             return accepted.select(F.col("o").alias(order))
-    raise ValueError("chains longer than the stated number of rounds")
 
 
 def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
