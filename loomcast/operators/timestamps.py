@@ -253,7 +253,7 @@ def normalize(df: DataFrame, columns: list[str], source: str, clocks: DataFrame,
     long = kept.select(key, "_source", *(["_ingested"] if ingested else []), F.inline(fields))
     stated = small_side(clocks.where("source is not null").groupBy("source").agg(F.min("clock_zone").alias("_stated"), F.min("day_order").alias("_order")))
     long = with_parts(long.join(stated, long["_source"] == stated["source"], "left").drop("source"), "raw_text", "_order", zones)
-    without = kept.select("_source").where("_source is not null").distinct().join(stated.select(F.col("source").alias("_source")), "_source", "left_anti") if ingested else None
+    without = kept.select("_source").where("_source is not null").distinct().join(stated.where("_stated is not null").select(F.col("source").alias("_source")), "_source", "left_anti") if ingested else None
     if ingested and not without.isEmpty():
         # The last column is the one that is written when a row is taken in.
         seen = long.where(F.col("field_name") == columns[-1]).withColumn("_g", F.unix_micros(F.try_to_timestamp(F.concat("_ingested", F.lit("Z")))))

@@ -33,10 +33,10 @@ def con(sf):
     return c
 
 
-@pytest.mark.parametrize("name", sorted({**catalog.SQL, **lifecycle.SQL}))
+@pytest.mark.parametrize("name", sorted({**catalog.SQL, **lifecycle.SQL, **problems.SQL}))
 def test_agrees_with_sql(spark, sf, con, name):
-    df = {**catalog.QUERIES, **lifecycle.QUERIES}[name](spark, sf)
-    result = con.execute({**catalog.SQL, **lifecycle.SQL}[name])
+    df = {**catalog.QUERIES, **lifecycle.QUERIES, **problems.QUERIES}[name](spark, sf)
+    result = con.execute({**catalog.SQL, **lifecycle.SQL, **problems.SQL}[name])
     names = [x[0] for x in result.description]
     assert sorted(names) == sorted(df.columns)
     want = Counter(tuple(plain(dict(zip(names, r))[c]) for c in sorted(names)) for r in result.fetchall())
