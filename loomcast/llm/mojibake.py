@@ -25,7 +25,7 @@ SINGLE = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1254", "cp437", "cp850", "
 DOUBLE = ("gbk", "big5", "cp932", "euc_jp", "cp949")
 #: Multibyte encodings whose bytes may have been read in a single-byte page, and single-byte Cyrillic ones.
 TRUE_DOUBLE = ("gbk", "cp932", "euc_jp", "big5", "cp949")
-TRUE_CHINESE = ("gbk", "big5")
+TRUE_JAPANESE = ("cp932", "euc_jp")
 TRUE_CYRILLIC = ("cp1251", "koi8-r", "cp866")
 
 
@@ -225,9 +225,9 @@ def _from_legacy(text: str) -> str | None:
                             continue
                         if sum(_cjk(c) for c in d) >= 2 and (share := _share(d)) >= 0.5:
                             parts.append((m.start(), m.end(), d))
-                            # Kana are in the same places of the Chinese and the Japanese tables, the characters beside them aren't.
-                            kana = true in TRUE_CHINESE and any("\u3041" <= c <= "\u30fa" for c in d)
-                            good += share * sum(map(_wide, d)) * (0.4 if kana else 1)
+                            # Kana are in the same places of the Chinese and the Japanese tables; if the characters beside them are as likely in both, it is Japanese.
+                            kana = true in TRUE_JAPANESE and any("\u3041" <= c <= "\u30fa" for c in d)
+                            good += share * sum(map(_wide, d)) * (1.01 if kana else 1)
                         break
                 if parts and (best is None or good > best[0]):
                     best = (good, parts)
