@@ -72,21 +72,31 @@ UTF8_BYTES = re.compile(
 )
 
 
+#: Where the national standards keep their first-level characters: the encoding, its first and last rows.
+LEVELS = {"gbk": ("gb2312", 0xB0, 0xD7), "euc_jp": ("euc_jp", 0xB0, 0xCF), "cp932": ("euc_jp", 0xB0, 0xCF), "big5": ("big5", 0xA4, 0xC6)}
+
+
 @lru_cache(None)
-def frequent_hanzi() -> frozenset[str]:
-    """The first-level characters of the national standards (their code tables put the common ones in front), and kana and punctuation."""
-    out = set()
-    for codec, first, last, trails in (("gb2312", 0xB0, 0xD7, range(0xA1, 0xFF)), ("euc_jp", 0xB0, 0xCF, range(0xA1, 0xFF)), ("big5", 0xA4, 0xC6, [*range(0x40, 0x7F), *range(0xA1, 0xFF)])):
-        for a in range(first, last + 1):
-            for b in trails:
-                try:
-                    out.add(bytes([a, b]).decode(codec))
-                except UnicodeDecodeError:
-                    pass
-    out |= {chr(c) for c in range(0x3001, 0x3100)} | {chr(c) for c in range(0xFF01, 0xFF5F)}
+def first_level(encoding: str) -> frozenset[str]:
+    """The first-level characters of an encoding's standard (its code table puts the common ones in front), and kana and punctuation."""
+    codec, first, last = LEVELS[encoding]
+    trails = [*range(0x40, 0x7F), *range(0xA1, 0xFF)] if codec == "big5" else range(0xA1, 0xFF)
+    out = {chr(c) for c in range(0x3001, 0x3100)} | {chr(c) for c in range(0xFF01, 0xFF5F)}
+    for a in range(first, last + 1):
+        for b in trails:
+            try:
+                out.add(bytes([a, b]).decode(codec))
+            except UnicodeDecodeError:
+                pass
     return frozenset(out)
 
 
+@lru_cache(None)
+def frequent_hanzi() -> frozenset[str]:
+    """Those of all the standards."""
+    return frozenset().union(*map(first_level, LEVELS))
+
+
 def _cjk(c: str) -> bool:
     return "぀" <= c <= "ヿ" or "㐀" <= c <= "鿿" or "豈" <= c <= "﫿"
 
@@ -174,9 +184,10 @@ def _eastern(c: str) -> bool:
     return _wide(c) or "｡" <= c <= "ﾟ" or "" <= c <= ""
 
 
-def _share(text: str) -> float:
+def _share(text: str, encoding: str | None = None) -> float:
+    """Of the wide characters those that are common, in any standard or in one encoding's."""
     wide = [c for c in text if _eastern(c)]
-    good = frequent_hanzi()
+    good = first_level(encoding) if encoding in LEVELS else frequent_hanzi()
     return sum(c in good for c in wide) / len(wide) if wide else 0.0
 
 
@@ -226,8 +237,8 @@ def _from_legacy(text: str) -> str | None:
                         if sum(_cjk(c) for c in d) >= 2 and (share := _share(d)) >= 0.5:
                             parts.append((m.start(), m.end(), d))
                             # Kana are in the same places of the Chinese and the Japanese tables; if the characters beside them are as likely in both, it is Japanese.
-                            kana = true in TRUE_JAPANESE and any("\u3041" <= c <= "\u30fa" for c in d)
-                            good += share * sum(map(_wide, d)) * (1.01 if kana else 1)
+                            kana = true in TRUE_JAPANESE and any("\u3041" <= c <= "\u3096" or "\u30a1" <= c <= "\u30fa" for c in d)
+                            good += _share(d, true) * sum(map(_wide, d)) * (1.01 if kana else 1)
                         break
                 if parts and (best is None or good > best[0]):
                     best = (good, parts)

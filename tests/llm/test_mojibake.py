@@ -28,7 +28,7 @@ def test_twice_damaged():
     assert M.repair(once.encode().decode("cp1252"))[:2] == (True, "Hörbücher")
 
 
-@pytest.mark.parametrize("true,text", [("gbk", "榆泉工作室的价格"), ("cp932", "語り手カギギハの部屋"), ("euc_jp", "語り手カギギハの部屋"), ("gbk", "リベヴェ制作室"), ("cp1251", "Радио Линдра язык печей")])
+@pytest.mark.parametrize("true,text", [("gbk", "榆泉工作室的价格"), ("cp932", "語り手カギギハの部屋"), ("euc_jp", "語り手カギギハの部屋"), ("gbk", "リベヴェ制作室"), ("gbk", "《老水磨坊的天气》Radio Hobpex"), ("gbk", "渡砾与岚渡稻"), ("cp1251", "Радио Линдра язык печей")])
 def test_legacy_read_as_western(true, text):
     damaged, restored, _ = M.repair(text.encode(true).decode("latin-1"))
     assert damaged and restored == text
