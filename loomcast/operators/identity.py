@@ -31,6 +31,37 @@ def enrich(stored: DataFrame, incoming: DataFrame, on: list[str], columns: list[
     return joined.select(*[(F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c in columns else F.col(c)) for c in stored.columns])
 
 
+def upsert(stored: DataFrame, incoming: DataFrame, order: str, columns: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(new rows, all rows after it, matches): a batch put into a table in the batch's order.
+
+    A row is new if no stored row and no new row before it has its identity: its job's key, or without one its URL or its source's id; rows that aren't
+    new lend no identity to others. Each of these enriches the rows that it matches: its non-empty `columns` replace theirs, the last one that has a
+    value winning. `matches` counts them: `id`, `n_rows` for each row that is enriched, whether or not it changes. Both tables have the same columns, with a unique `id`.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    key = lambda *c: F.when(text(c[-1]) != "", F.concat_ws("\x1f", *[text(x) for x in c]))
+    job, by_source = key("source", "artifact_kind", "job_key"), key("source", "artifact_kind", "source_id")
+    rows = incoming.withColumn("_o", F.col(order))
+    fresh = insert_absent(rows, stored)
+    # A key stands in for the URL of rows with a job, so that one rule settles both kinds; the source's id is theirs no longer.
+    marks = fresh.select("_o", F.coalesce(F.concat(F.lit("job\x1f"), job), F.concat(F.lit("url\x1f"), F.col("url"))).alias("_a"), F.when(job.isNull(), by_source).alias("_b"))
+    new = fresh.join(sequential_accept(marks, "_o", "_a", "_b"), "_o", "left_semi")
+    rest = rows.join(new.select("_o"), "_o", "left_anti")
+    whole = stored.unionByName(new.drop("_o"))
+    targets = whole.select(F.col("id").alias("_id"), job.alias("_job"), F.when(job.isNull(), F.col("url")).alias("_url"), F.when(job.isNull(), by_source).alias("_source"))
+    gifts = rest.select("_o", *[F.col(c).alias(f"_{c}_new") for c in columns], job.alias("_job"), F.when(job.isNull(), F.col("url")).alias("_url"), F.when(job.isNull(), by_source).alias("_source"))
+    met = None
+    for k in ("_job", "_url", "_source"):  # joins on equal keys, never one on an OR of them
+        one = gifts.where(F.col(k).isNotNull()).join(targets.where(F.col(k).isNotNull()).select("_id", k), k).select("_id", "_o", *[f"_{c}_new" for c in columns])
+        met = one if met is None else met.unionByName(one)
+    met = met.dropDuplicates(["_id", "_o"])
+    last = [F.max(F.when(F.coalesce(F.col(f"_{c}_new").cast("string"), F.lit("")) != "", F.struct(F.col("_o").alias("o"), F.col(f"_{c}_new").alias("v")))).getField("v").alias(f"_{c}") for c in columns]
+    best = met.groupBy("_id").agg(F.count("*").alias("_n"), *last)
+    joined = whole.join(best, whole["id"] == best["_id"], "left")
+    after = joined.select(*[(F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c in columns else F.col(c)) for c in stored.columns])
+    return new.drop("_o"), after, best.select(F.col("_id").alias("id"), F.col("_n").alias("n_rows"))
+
+
 def mark_content_duplicates(df: DataFrame, content: str, order: str) -> DataFrame:
     """`kept_path`: the first row of a content hash keeps its path, later ones get `dup:<hash>`. Rows without a hash keep theirs."""
     first = df.where(F.coalesce(F.col(content), F.lit("")) != "").groupBy(content).agg(F.min(order).alias("_first"))

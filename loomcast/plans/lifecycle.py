@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import documents, scalars, text, urls
-from ..operators import bundles, filters, leases
+from ..operators import bundles, filters, identity, leases, sequences
 from ..session import table
 from ..sources import feeds, listings, manifests
 
@@ -97,6 +97,21 @@ def compare_and_swap(spark, d):
     return leases.compare_and_swap(a, changes, ["status", "content_hash"], ["status"])[1].groupBy("outcome").agg(F.count("*").alias("n_rows"))
 
 
+@query()
+def batch_upsert(spark, d):
+    """The pending rows put into all others in one batch: how often each row is enriched."""
+    a, pending = _queue(spark, d), F.col("status").eqNullSafe("pending")
+    return identity.upsert(a.where(~pending), a.where(pending), "id", ["title", "author", "description"])[2]
+
+
+@query("SELECT track_id AS media_id, count(DISTINCT pos) AS n_frames, count(*) AS n_candidates, count(*) FILTER (c >= 0.7) AS n_accepted, count(*) FILTER (NOT c >= 0.7) AS n_filtered, count(*) FILTER (c >= 0.7) AS n_cues, CASE WHEN count(*) FILTER (c >= 0.7) > 0 THEN round_even(avg(c) FILTER (c >= 0.7), 6) END AS mean_confidence FROM (SELECT DISTINCT track_id, pos, 0.5 + (length(coalesce(text, '')) % 4) * 0.125 AS c FROM cues WHERE track_id IS NOT NULL AND pos IS NOT NULL) GROUP BY 1")
+def recognition_counters(spark, d):
+    """Cues taken as detections, each of which that is sure enough as a caption of its own."""
+    rows = table(spark, d, "cues").where("track_id is not null and pos is not null")
+    found = rows.select(F.col("track_id").alias("media_id"), F.col("pos").alias("frame_index"), (0.5 + (F.length(F.coalesce("text", F.lit(""))) % 4) * 0.125).alias("confidence")).distinct()
+    return sequences.extraction_counters(found, found.where("confidence >= 0.7"), 0.7)
+
+
 # --- manifests and keys --------------------------------------------------------------------------------------------------------------
 
 

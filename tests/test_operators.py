@@ -38,6 +38,43 @@ def test_enrichment_keeps_old_values(spark):
     assert got == {1: ("newest", "x"), 2: ("t", "")}
 
 
+def test_upsert_against_a_loop(spark):
+    rng = random.Random(4)
+    columns = "id long, url string, source string, artifact_kind string, job_key string, source_id string, title string, author string"
+    make = lambda i: (i, f"u{rng.randrange(25)}", rng.choice("st"), "audio", rng.choice(["", "", "", f"j{rng.randrange(6)}"]), rng.choice(["", f"i{rng.randrange(20)}"]), rng.choice(["", f"t{i}"]), rng.choice([None, f"a{i}"]))
+    stored, taken = [], set()
+    for i in range(12):
+        r = make(i)
+        if not taken & {("url", r[1], bool(r[4])), ("job", r[2], r[4])}:
+            stored.append(r)
+            taken |= {("url", r[1], bool(r[4])), *([("job", r[2], r[4])] if r[4] else [])}
+    incoming = [make(100 + i) for i in range(60)]
+
+    def alike(a, b):
+        if a[4] or b[4]:
+            return (a[2], a[4]) == (b[2], b[4])
+        return a[1] == b[1] or (a[5] != "" and (a[2], a[5]) == (b[2], b[5]))
+
+    # A row without a job also counts as there if a stored row with one has its source's id.
+    known = lambda r, rows: any(alike(r, x) or (not r[4] and x in stored and r[5] and (r[2], r[5]) == (x[2], x[5])) for x in rows)
+    table, new = list(stored), []
+    for r in incoming:
+        if not known(r, table):
+            table.append(r)
+            new.append(r[0])
+    want, n = {r[0]: list(r) for r in table}, 0
+    for r in incoming:
+        if r[0] not in new:
+            for x in table:
+                if alike(r, x):
+                    n += 1
+                    for c in (6, 7):
+                        want[x[0]][c] = r[c] or want[x[0]][c]
+    got_new, after, matches = identity.upsert(spark.createDataFrame(stored, columns), spark.createDataFrame(incoming, columns), "id", ["title", "author"])
+    assert sorted(r.id for r in got_new.collect()) == new and len(new) > 10
+    assert {r.id: list(r) for r in after.collect()} == want and sum(r.n_rows for r in matches.collect()) == n > 10
+
+
 def test_first_per_group_prunes_before_the_shuffle(spark, sf):
     df = filters.first_per_group(spark.read.parquet(f"{sf}/audio_urls.parquet"), "source", 3)
     assert "WindowGroupLimit" in df._jdf.queryExecution().toString()
