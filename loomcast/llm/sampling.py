@@ -33,11 +33,11 @@ def _memberships(items: DataFrame, targets: DataFrame, key: str) -> DataFrame:
     return spread.join(cells, [f"_{a}" for a in ATTRIBUTES]).select("plan_id", "target_id", "item").distinct()
 
 
-def cells(items: DataFrame, targets: DataFrame, key: str = "source_id") -> DataFrame:
+def cells(items: DataFrame, targets: DataFrame, key: str = "source_id", members: DataFrame | None = None) -> DataFrame:
     """One row for each target: `plan_id`, `target_id`, `items`, `sample_size`, `needed`, `observed`, `accept_probability`."""
     total = items.select(F.col(key).alias("item")).where("item is not null and trim(item) <> ''").agg(F.count_distinct("item").alias("items"))
     n = total.collect()[0]["items"]  # one number
-    have = _memberships(items, targets, key).groupBy("plan_id", "target_id").agg(F.count("*").alias("observed"))
+    have = (_memberships(items, targets, key) if members is None else members).groupBy("plan_id", "target_id").agg(F.count("*").alias("observed"))
     want = targets.select("plan_id", "target_id", "sample_bp", "share_bp", "min_rows").distinct()
     out = want.join(have, ["plan_id", "target_id"], "left").withColumn("items", F.lit(n).cast("long"))
     out = out.withColumn("sample_size", F.expr("cast(sample_bp as bigint) * items div 10000"))
@@ -49,10 +49,10 @@ def cells(items: DataFrame, targets: DataFrame, key: str = "source_id") -> DataF
 
 def candidates(items: DataFrame, targets: DataFrame, key: str = "source_id", seed: int = 7) -> tuple[DataFrame, DataFrame]:
     """The items that each cell accepts, `plan_id`, `target_id`, `item`, `u`, `needed`, and the cells. A cell that accepted too few has all its items."""
-    from ..session import small_side
+    from ..session import checkpointed, small_side
 
-    members = _memberships(items, targets, key)
-    plan = small_side(cells(items, targets, key))
+    members = checkpointed(_memberships(items, targets, key))  # counted, drawn from and corrected: worked out once
+    plan = small_side(cells(items, targets, key, members))
     unit = (F.xxhash64(F.lit(seed), "plan_id", "target_id", "item").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("u")
     hashed = members.select("plan_id", "target_id", "item", unit).join(plan.drop("items", "sample_size"), ["plan_id", "target_id"])
     # Independent acceptance, with slack for small cells; a cell that still came out short (rare) is completed from its other items.
