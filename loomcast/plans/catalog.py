@@ -250,14 +250,15 @@ CASE WHEN json_valid(metadata_json) THEN coalesce(json_extract_string(metadata_j
 
 
 def _coverage(spark, d):
-    v = F.try_parse_json("metadata_json")
+    # Parsed once: a column that is used more than once isn't folded into its uses.
+    queue, v = _queue(spark, d).withColumn("_v", F.try_parse_json("metadata_json")), F.col("_v")
     object_at = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")).startswith("OBJECT"), F.lit(False))
     keys = F.size(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")))
     values = F.map_values(F.try_variant_get(v, "$.source_data", "map<string,variant>"))
     some = object_at("$.source_data") & F.coalesce(F.exists(values, lambda x: scalars.truthy(F.to_json(x))), F.lit(False))
     flags = [(_text(c) != "").alias(n) for n, c in (("d", "description"), ("a", "author"), ("c", "cover_url"), ("w", "webpage_url"))]
-    status = F.coalesce(F.get_json_object("metadata_json", "$.transcript_status"), F.lit("unknown"))
-    return _queue(spark, d).select("source", *flags, (object_at("$") & (keys > 0)).alias("m"), some.alias("s"), F.when(v.isNotNull(), status).otherwise("unknown").alias("t"))
+    status = F.coalesce(F.try_variant_get(v, "$.transcript_status", "string"), F.lit("unknown"))
+    return queue.select("source", *flags, (object_at("$") & (keys > 0)).alias("m"), some.alias("s"), F.when(v.isNotNull(), status).otherwise("unknown").alias("t"))
 
 
 @query(_COVERAGE + """SELECT source, count(*) AS n_rows, count(*) FILTER (m) AS with_metadata, count(*) FILTER (m AND s AND d::INT + a::INT + c::INT + w::INT >= 3) AS rich, count(*) FILTER (m AND NOT (s AND d::INT + a::INT + c::INT + w::INT >= 3)) AS partial,
