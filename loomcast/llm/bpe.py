@@ -34,7 +34,7 @@ _KEYED = 1 << 33  # above every id: keys and ids share the buckets
 #: Parts that every task holds, and the most bytes of one: a few megabytes at any size of the corpus.
 HOT, HOT_BYTES = 1 << 17, 32
 #: Characters that are split together: bounds a task's memory; a longer text is split alone, and whole.
-CHARACTERS = 1 << 21
+CHARACTERS = 1 << 20
 #: Bytes of a part up to which its hash is made over all parts at once.
 _WIDE = 64
 
